@@ -3,7 +3,8 @@
 Alternating large-star and small-star rounds: every round is two partially
 aggregated group-bys and two joins on node ids, and the number of rounds grows
 with the logarithm of the longest path. A large star keeps one row per node
-for each neighbour, so a hub of any degree is never gathered into a list.
+for each neighbour, so a hub of any degree is never gathered into a list. A
+table that is counted to be small is joined by one task instead.
 """
 
 from __future__ import annotations
@@ -13,6 +14,31 @@ from pyspark.sql import functions as F
 
 from corvane.runtime import settle
 
+#: Edges up to which one task joins them in memory (16 bytes an edge); beyond it the rounds are distributed.
+LOCAL_EDGES = 1_000_000
+
+
+def _local(batches):
+    """Union-find over a bounded edge table: rows (node, component)."""
+    import numpy as np
+    import pandas as pd
+
+    parts = [(b["u"].to_numpy(), b["v"].to_numpy()) for b in batches]
+    if not parts:
+        return
+    u, v = (np.concatenate(x) for x in zip(*parts))
+    names, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = ends[: len(u)], ends[len(u) :]
+    up = np.arange(len(names))
+    while len(a):
+        while not np.array_equal(up, nxt := up[up]):
+            up = nxt
+        x, y = up[a], up[b]
+        apart = x != y
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+    yield pd.DataFrame({"node": names, "component": names[up]})
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Relink each node's larger (or smaller) neighbours to its least one."""
@@ -41,6 +67,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
+    if now.limit(LOCAL_EDGES + 1).count() <= LOCAL_EDGES:
+        kind = now.schema["u"].dataType.simpleString()
+        return now.coalesce(1).mapInPandas(_local, f"node {kind}, component {kind}")
     mark = None
     for _ in range(max_rounds):
         now = settle(_star(_star(now, True), False))
