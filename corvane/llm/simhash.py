@@ -188,6 +188,8 @@ def similar_links(nodes: DataFrame, budget: int = 2, node_rows: int = NODE_ROWS)
     def level(depth: int) -> DataFrame:
         return nodes.groupBy(_prefix(depth).alias("p")).agg(F.count("*").alias("n"))
 
+    total = nodes.count()
+    parts = max(8, total // 100_000)  # of the node and pair tables, which are small beside the fingerprints
     top = level(0)
     pairs = settle(top.select(F.col("p").alias("pa"), F.col("p").alias("pb"), F.col("n").alias("na"), F.col("n").alias("nb"), F.lit(0).alias("err"), F.lit(0).alias("depth")))
     small = (F.col("na") <= node_rows) & (F.col("nb") <= node_rows)
@@ -198,17 +200,23 @@ def similar_links(nodes: DataFrame, budget: int = 2, node_rows: int = NODE_ROWS)
         if wide.isEmpty():
             break
         depth += STEP
-        kids = settle(level(depth))
+        kids = settle(level(depth).coalesce(parts))
         a = kids.select(F.shiftright("p", STEP).alias("pa") if depth < 64 else F.shiftrightunsigned("p", STEP).alias("pa"), F.col("p").alias("ca"), F.col("n").alias("ma"))
         b = a.toDF("pb", "cb", "mb")
         unlike = F.bit_count(F.col("ca").bitwiseXOR(F.col("cb")).bitwiseAND(F.lit((1 << STEP) - 1)))
         pairs = settle(
             wide.join(a, "pa").join(b, "pb").where((F.col("pa") != F.col("pb")) | (F.col("ca") <= F.col("cb"))).withColumn("e", (F.col("err") + unlike).cast("int")).where(F.col("e") <= budget)
             .select(F.col("ca").alias("pa"), F.col("cb").alias("pb"), F.col("ma").alias("na"), F.col("mb").alias("nb"), F.col("e").alias("err"), F.lit(depth).alias("depth"))
+            .coalesce(parts)
         )
     links = None
     for at, own in enumerate(ready):
         own = own.withColumn("twin", F.col("pa") == F.col("pb"))
+        if at == 0:  # the root has one pair, itself
+            sent = nodes.select("fp", "rep", F.lit(0).alias("side"), F.lit(0).cast("long").alias("pa"), F.lit(0).cast("long").alias("pb"), F.lit(0).alias("err"), F.lit(0).alias("depth"), F.lit(True).alias("twin"))
+            if total <= node_rows:
+                links = sent.groupBy("depth", "pa", "pb").applyInPandas(lambda pdf: _links(pdf, budget), "u long, v long")
+            continue
         left = own.select(F.col("pa").alias("p"), F.lit(0).alias("side"), "pa", "pb", "err", "depth", "twin")
         right = own.where("not twin").select(F.col("pb").alias("p"), F.lit(1).alias("side"), "pa", "pb", "err", "depth", "twin")
         sent = left.union(right).join(nodes.withColumn("p", _prefix(STEP * at)), "p").drop("p")
