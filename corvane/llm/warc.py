@@ -112,17 +112,18 @@ def read_archive(source):
     made = zstandard.ZstdCompressionDict(own, dict_type=zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT)
     unpack, held, ended = zstandard.ZstdDecompressor(dict_data=made), b"", False
     while True:
-        one, out = unpack.decompressobj(), []
+        one, out, begun = unpack.decompressobj(), [], False
         while not one.eof:
             if not held:
                 held = source.read(1 << 20)
                 if not held:
                     ended = True
                     break
+            begun = True
             out.append(one.decompress(held))
             held = one.unused_data if one.eof else b""
         if ended:
-            if any(out):
+            if begun:
                 raise ValueError("the archive ends inside a record")
             return
         yield parse_record(b"".join(out))
