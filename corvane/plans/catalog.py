@@ -545,6 +545,38 @@ def classify_five(spark, sf):
     return classify.classify_five(d, FAMILIES).select("id", "category", "reason", "noise_kind", "confidence", "selected_run_id", "review_priority")
 
 
+@query("classify_tolerant")
+def classify_tolerant(spark, sf):
+    from corvane.operators import classify_semantic
+
+    n = F.lit(None)
+    d = _gathered(spark, sf).withColumns({"acoustic": n.cast("string"), "speech_absent": n.cast("boolean"), "retry_count": F.lit(0)})
+    return classify_semantic.classify_tolerant(d, FAMILIES).select("id", "category", "status", "reason")
+
+
+@query("classify_business")
+def classify_business(spark, sf):
+    from corvane.operators import classify_semantic
+
+    n = F.lit(None)
+    d = _gathered(spark, sf).withColumns({"presence": n.cast("string"), "retry_open": F.lit(False)})
+    return classify_semantic.classify_business(d, FAMILIES).select("id", "category", "status", "reason", "coverage", "label_grade")
+
+
+@query("business_acts", "SELECT doc_id, CASE WHEN n_chars = 0 THEN 'empty' ELSE 'unknown' END AS act FROM documents")
+def business_acts(spark, sf):
+    from corvane.operators import semantics
+
+    return table(spark, sf, "documents").select("doc_id", semantics.business_fields(F.col("text"), unicode=False)["act"].alias("act"))
+
+
+@query("speech_language", r"SELECT doc_id, CASE WHEN regexp_replace(text, '[^\p{L}\p{N}]', '', 'g') = '' THEN 'empty' WHEN len(list_filter(regexp_extract_all(text, '[A-Za-z]+'), lambda t: length(t) >= 3)) > 0 THEN 'non_zh' ELSE 'unknown' END AS language FROM documents")
+def speech_language(spark, sf):
+    from corvane.operators import semantics
+
+    return table(spark, sf, "documents").select("doc_id", semantics.speech_language(F.col("text")).alias("language"))
+
+
 @query("classify_expressions", f"""WITH {_DOCS_SQL} SELECT CASE WHEN coalesce(toxic = 1, false) THEN 'exclude' WHEN coalesce(quality = 1, false) AND coalesce(n_chars > 500, false) THEN 'gold' WHEN lang IS DISTINCT FROM 'en' THEN 'other_language' ELSE 'review_queue' END AS classification_bucket, count(*) AS n FROM docs GROUP BY 1""")
 def classify_expressions(spark, sf):
     d = classify.classify_by_expressions(documents(spark, sf), [("exclude", "toxic == 1"), ("gold", "quality == 1 and n_chars > 500"), ("other_language", "lang != 'en'")])

@@ -91,3 +91,27 @@ def test_stream_of_new_content(spark, tmp_path):
     stream = incremental.unseen(incremental.parquet_stream(spark, src), "sha256", "ts")
     incremental.run_once(stream, str(tmp_path / "cp"), lambda d, i: d.write.mode("overwrite").parquet(f"{out}/b={i}"))
     assert sorted(r["sha256"] for r in spark.read.parquet(out).collect()) == ["h1", "h2"]
+
+
+def test_registered_operators(spark):
+    from corvane.plans import registered  # noqa: F401  registers them
+
+    entry = "struct<text:string,model:string,version:string,confidence:double,status:string,extra:map<string,string>>"
+    t = lambda x: (x, "m", None, None, None, None)
+    rows = [("a", "s1", "p1", {"q": t("不需要"), "s": t("需要!"), "b": t("不需要")}, {}, {"gold_text": "不需要", "spk": "x"}), ("b", "s2", "p2", {"q": t("词"), "s": t(None)}, {}, {"spk": "y"})]
+    d = spark.createDataFrame(rows, f"id string, sha256 string, source_path string, transcripts map<string,{entry}>, quality map<string,string>, labels map<string,string>")
+    plan = pipeline.load("""
+steps:
+  - {operator: quality.normalize_transcripts, params: {models: ['q', 's'], blank_words: ['词']}}
+  - {operator: quality.text_metrics, params: {base: b, hypotheses: ['q', 's']}}
+  - {operator: quality.split_dataset, params: {group_key: spk, seed: 1}}
+  - {operator: asr.mock, params: {model: mock}}
+""")
+    got = {r["id"]: r for r in pipeline.run(d, plan).collect()}
+    q = got["a"]["quality"]
+    assert (q["s_vs_gold_cer"], q["s_vs_gold_deletions"], q["q_vs_base_cer"], q["max_vs_base_agreement_cer"]) == ("0.333333", "1", "0.0", "0.333333")
+    assert got["a"]["transcripts"]["s"]["text"] == "需要" and got["a"]["transcripts"]["s"]["extra"]["raw_text"] == "需要!"
+    assert got["b"]["transcripts"]["q"]["text"] == "" and got["b"]["transcripts"]["mock"]["text"].startswith("mock ") and got["b"]["labels"]["split"]
+    with pytest.raises(ValueError, match="exist"):
+        pipeline.run(pipeline.run(d, plan), pipeline.load("steps: [{operator: quality.text_metrics, params: {base: b, hypotheses: ['q']}}]"))
+    assert {"asr.mock", "audio.vad", "quality.cer", "ingest.scan"} <= set(pipeline.operators())
