@@ -78,7 +78,7 @@ def reply_paths(messages: DataFrame, top: int | None = 1) -> DataFrame:
     for step in reversed(hops):
         s = step.where("up is not null").toDF("t2", "i2", "up")
         up = on.join(s, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("id") == F.col("i2"))).select("tree", "leaf", "rank", F.col("up").alias("id"))
-        on = on.union(up)
+        on = settle(on.union(up))  # else the plan would double with each stride
     at = done.select(F.col("tree").alias("t2"), F.col("id").alias("i2"), F.col("far").alias("depth"))
     body = nodes.select(F.col("tree").alias("t3"), F.col("id").alias("i3"), "role", "text")
     out = on.join(at, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("id") == F.col("i2"))).join(body, F.col("tree").eqNullSafe(F.col("t3")) & (F.col("id") == F.col("i3")))
