@@ -4,7 +4,7 @@ Documents are dealt by range of their key, so a task holds a contiguous run of
 them, sorted. It encodes each, appends the end id, and packs the ids end to end
 into sequences of one length. A file is an Arrow IPC file of record batches
 with two fixed-size-list columns: ``ids`` (unsigned 16- or 32-bit) and ``mask``
-(1 for an id, 0 for the filling of a file's last sequence). Batches lie in the
+(bits: set for an id, not for the filling of a file's last sequence). Batches lie in the
 file uncompressed, so a reader maps it and reaches sequence i by arithmetic
 without copying. A second file beside it, one row per document, has where each
 starts. The offsets of files come from one number for each file.
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from array import array
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,51 +29,85 @@ WORDS_KEPT = 700_000
 _loaded: dict[str, "Encoder"] = {}
 
 
+#: The vocabulary's word pattern (fixed value, from its published definition).
+WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: ASCII white space other than the space itself.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, word by word.
 
     The vocabulary's words never hold a space that stands between two other
-    characters anywhere but at their start. So a text is cut before such spaces,
-    each part goes through the library once while a worker remembers it, and
-    the parts' ids are joined.
+    characters anywhere but at their start. So a text is cut at such spaces and
+    each part's ids are remembered. A new part is cut by the word pattern, and
+    the library encodes the words that are new; a part that holds a special
+    string goes to the library whole.
     """
 
     def __init__(self, path: str):
         import re
 
         import numpy as np
+        import regex
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.model.no_padding()
         self.model.no_truncation()
         self.kind = np.dtype("<u2" if self.model.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.crowded = re.compile(r" \s|\s |^ | $").search
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.beside = tuple(p for c in " " + BLANKS for p in (" " + c, c + " "))
+        self.crowded = re.compile(r" \s|\s ").search
         self.cut = re.compile(r"(?<=\S) (?=\S)").split
-        self.memo: dict[str, bytes] = {}
+        self.words = regex.compile(WORD).findall
+        self.first: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def parts(self, text: str) -> list[str]:
-        words = self.cut(text) if self.crowded(text) else text.split(" ")
-        return [words[0], *(" " + w for w in words[1:])]
+        """The text cut at spaces between other characters; all but the first part had a space before them."""
+        if text[0] == " " or text[-1] == " " or (any(p in text for p in self.beside) if text.isascii() else self.crowded(text)):
+            return self.cut(text)
+        return text.split(" ")
+
+    def _library(self, texts: list[str]):
+        for at in range(0, len(texts), 20_000):
+            for t, e in zip(texts[at : at + 20_000], self.model.encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False)):
+                yield t, array(self.code, e.ids).tobytes()
+
+    def _learn(self, memo: dict[str, bytes], new: set[str], lead: str, special: bool) -> None:
+        whole = {w for w in new if any(s in w for s in self.special)} if special else ()
+        memo.update((t[len(lead) :], i) for t, i in self._library([lead + w for w in whole]))
+        cut = {w: self.words(lead + w) for w in new if w not in whole}
+        known = self.pieces
+        missing = list({p for ps in cut.values() for p in ps if p not in known})
+        if len(known) + len(missing) > WORDS_KEPT:
+            known.clear()
+            missing = list({p for ps in cut.values() for p in ps})
+        known.update(self._library(missing))
+        memo.update((w, known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])) for w, ps in cut.items())
+        for p in missing:
+            if len(p) > MEMO_CHARS:
+                del known[p]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
         split = [self.parts(t) if t else [] for t in texts]
-        memo = self.memo
-        new = list({w for s in split for w in s if w not in memo})
-        if len(memo) + len(new) > WORDS_KEPT:
-            memo.clear()
-            new = list({w for s in split for w in s})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):
-                memo[w] = np.array(e.ids, self.kind).tobytes()
-        out = [b"".join(map(memo.__getitem__, s)) for s in split]
-        for w in new:
-            if len(w) > MEMO_CHARS:
-                del memo[w]
-        return out
+        special = any(s in t for t in texts for s in self.special if t)
+        heads, tails = [s[:1] for s in split], [s[1:] for s in split]
+        out = []
+        for memo, rows, lead in ((self.first, heads, ""), (self.later, tails, " ")):
+            new = {w for s in rows for w in s if w not in memo}
+            if len(memo) + len(new) > WORDS_KEPT:
+                memo.clear()
+                new = {w for s in rows for w in s}
+            self._learn(memo, new, lead, special)
+            out.append([b"".join(map(memo.__getitem__, s)) for s in rows])
+            for w in new:
+                if len(w) > MEMO_CHARS:
+                    del memo[w]
+        return [a + b for a, b in zip(*out)]
 
 
 def encoder(path: str) -> Encoder:
@@ -94,7 +129,7 @@ class SequenceWriter:
         self.length, self.kind, self.room = length, kind, np.empty(length * batch, kind)
         self.at = self.total = 0
         value = pa.uint16() if kind.itemsize == 2 else pa.uint32()
-        self.schema = pa.schema([("ids", pa.list_(pa.field("item", value, nullable=False), length)), ("mask", pa.list_(pa.field("item", pa.uint8(), nullable=False), length))])
+        self.schema = pa.schema([("ids", pa.list_(pa.field("item", value, nullable=False), length)), ("mask", pa.list_(pa.field("item", pa.bool_(), nullable=False), length))])
         self.file = pa.ipc.new_file(sink, self.schema)
 
     def add(self, ids) -> None:
@@ -113,8 +148,8 @@ class SequenceWriter:
         rows = -(-self.at // self.length)
         flat = self.room[: rows * self.length].copy()
         flat[self.at :] = 0
-        mask = np.zeros(len(flat), np.uint8)
-        mask[: self.at] = 1
+        mask = np.zeros(len(flat), bool)
+        mask[: self.at] = True
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type) for x, f in zip((flat, mask), self.schema)]
         self.file.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
         self.at = 0
@@ -139,15 +174,19 @@ class SequenceFile:
             source = pa.memory_map("/" + at.lstrip("/") if path.startswith("file:") else at)
         self.file = pa.ipc.open_file(source)
         self.length = self.file.schema.field("ids").type.list_size
+        self.held = (-1, None, None)
         self.rows = self.file.get_batch(0).num_rows if self.file.num_record_batches else 0
 
-    def _flat(self, batch: int, column: int):
-        return self.file.get_batch(batch).column(column).flatten().to_numpy(zero_copy_only=True)
+    def _flat(self, batch: int):
+        """(ids, mask) of a record batch end to end: views of the map."""
+        b = self.file.get_batch(batch)
+        return b.column(0).flatten().to_numpy(zero_copy_only=True), b.column(1).flatten()
 
     def sequence(self, i: int):
-        """(ids, mask) of the i-th sequence, without copying."""
+        """(ids as an array, mask as an Arrow array of bits) of the i-th sequence, without copying."""
         b, r = divmod(i, self.rows)
-        return tuple(self._flat(b, c)[r * self.length : (r + 1) * self.length] for c in (0, 1))
+        ids, mask = self._flat(b)
+        return ids[r * self.length : (r + 1) * self.length], mask.slice(r * self.length, self.length)
 
     def ids(self, start: int, stop: int):
         """The ids at [start, stop) of the file, all under the mask."""
@@ -156,10 +195,13 @@ class SequenceFile:
         wide, parts = self.rows * self.length, []
         while start < stop:
             b, o = divmod(start, wide)
+            if self.held[0] != b:
+                self.held = (b, *self._flat(b))
+            _, ids, mask = self.held
             n = min(stop - start, wide - o)
-            if not self._flat(b, 1)[o : o + n].all():
+            if mask.slice(o, n).true_count != n:
                 raise ValueError("masked ids inside a document")
-            parts.append(self._flat(b, 0)[o : o + n])
+            parts.append(ids[o : o + n])
             start += n
         return np.concatenate(parts) if len(parts) != 1 else parts[0]
 
@@ -180,9 +222,12 @@ def write_sequences(docs: DataFrame, path: str | None = None, text: str = "text"
     small_batches(spark)
 
     def run(batches):
+        import gc
+
         import numpy as np
         from pyspark import TaskContext
 
+        gc.disable()  # the word tables are large and hold no cycles; passes over them would take a fifth of the time
         part = TaskContext.get().partitionId()
         name, mark = f"{root}/part-{part:06d}", uuid.uuid4().hex
         enc, writer, keys, counts, sink = None, None, [], [], None
