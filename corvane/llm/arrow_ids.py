@@ -73,8 +73,26 @@ class Encoder:
         return text.split(" ")
 
     def _library(self, texts: list[str]):
-        for at in range(0, len(texts), 20_000):
-            for t, e in zip(texts[at : at + 20_000], self.model.encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False)):
+        """(text, ids) of each text. Texts of a space and letters are encoded many at once: the pattern cuts their join at the spaces."""
+        plain = [t for t in texts if t[0] == " " and t[1:].isalpha()]
+        other = [t for t in texts if not (t[0] == " " and t[1:].isalpha())]
+        for at in range(0, len(plain), 4_000):
+            part = plain[at : at + 4_000]
+            e = self.model.encode("".join(part), add_special_tokens=False)
+            ids, starts = array(self.code, e.ids), [0]
+            last = 0
+            for i, w in enumerate(e.word_ids):
+                if w != last:
+                    starts.append(i)
+                    last = w
+            if len(starts) != len(part):  # never seen; a text that the pattern cuts further is encoded alone
+                other += part
+                continue
+            starts.append(len(ids))
+            for t, x, y in zip(part, starts, starts[1:]):
+                yield t, ids[x:y].tobytes()
+        for at in range(0, len(other), 20_000):
+            for t, e in zip(other[at : at + 20_000], self.model.encode_batch_fast(other[at : at + 20_000], add_special_tokens=False)):
                 yield t, array(self.code, e.ids).tobytes()
 
     def _learn(self, memo: dict[str, bytes], new: set[str], lead: str, special: bool) -> None:
@@ -98,10 +116,10 @@ class Encoder:
         heads, tails = [s[:1] for s in split], [s[1:] for s in split]
         out = []
         for memo, rows, lead in ((self.first, heads, ""), (self.later, tails, " ")):
-            new = {w for s in rows for w in s if w not in memo}
+            new = set().union(*rows).difference(memo)
             if len(memo) + len(new) > WORDS_KEPT:
                 memo.clear()
-                new = {w for s in rows for w in s}
+                new = set().union(*rows)
             self._learn(memo, new, lead, special)
             out.append([b"".join(map(memo.__getitem__, s)) for s in rows])
             for w in new:
