@@ -10,6 +10,7 @@ is the one whose spans hold most letters; the score is their share.
 
 from __future__ import annotations
 
+import gc
 import json
 import math
 
@@ -27,6 +28,8 @@ SCRIPTS = [
     (0x31F0, "kana"), (0x3200, "han"), (0xA000, "other"), (0xA720, "latin"), (0xA800, "other"), (0xAC00, "hangul"), (0xD7B0, "other"), (0xF900, "han"),
     (0xFB00, "latin"), (0xFB13, "other"), (0xFF21, "latin"), (0xFF66, "kana"), (0xFFA0, "hangul"), (0xFFE0, "other"), (0x20000, "han"), (0x323B0, "other"),
 ]
+#: Words whose characters are all below this are Latin.
+FIRST_OTHER = chr(SCRIPTS[1][0])
 #: Share of a language's letters from which it counts as using a script.
 SCRIPT_SHARE = 0.01
 #: Log-score taken from a language that does not use a word's script, for each letter.
@@ -124,6 +127,17 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     return json.dumps({"langs": langs, "scripts": scripts, "probs": probs})
 
 
+class _Rows(dict):
+    """Row of an n-gram in the table; that of unseen ones if it has none."""
+
+    def __init__(self, floor: int, rows):
+        super().__init__(rows)
+        self.floor = floor
+
+    def __missing__(self, gram: str) -> int:
+        return self.floor
+
+
 class Labeller:
     """Scores of words under a model, and the best labelling of a text."""
 
@@ -132,9 +146,10 @@ class Labeller:
 
         spec = json.loads(model)
         self.langs, self.switch = spec["langs"], switch
-        self.gram_row = {g: i for i, g in enumerate(spec["probs"])}
-        self.table = np.array(list(spec["probs"].values())).reshape(len(self.gram_row), len(self.langs))
-        self.floor = [0, *(self.gram_row.pop(f"?{k}?floor", 0) for k in (1, 2, 3))]
+        at = {g: i for i, g in enumerate(spec["probs"])}
+        self.table = np.array(list(spec["probs"].values())).reshape(len(at), len(self.langs))
+        floors = [at.pop(f"?{k}?floor", 0) for k in (1, 2, 3)]
+        self.gram_rows = [_Rows(f, ((g, i) for g, i in at.items() if len(g) == k)) for k, f in zip((1, 2, 3), floors)]
         self.uses = {s: np.array([0.0 if l in ls else -OUTSIDE for l in self.langs]) for s, ls in spec["scripts"].items()}
         self.ascii_use = self.uses.get("latin")
         self.reset()
@@ -155,14 +170,17 @@ class Labeller:
         own = {c: letters(c) for c in chunks}
         new = list({w for w in own.values() if w not in self.by_letters})
         if new:
-            get, floor = self.gram_row.get, self.floor
+            one, two, three = (r.__getitem__ for r in self.gram_rows)
             flat, starts = [], []
             for w in new:
                 starts.append(len(flat))
-                flat += [get(g, floor[len(g)]) for g in grams(w)]
+                x = f" {w} "
+                flat += map(one, w)
+                flat += map(two, [x[i : i + 2] for i in range(len(x) - 1)])
+                flat += map(three, [x[i : i + 3] for i in range(len(x) - 2)])
             s = np.add.reduceat(self.table[flat], starts, axis=0) / 3
             for i, w in enumerate(new):
-                if w.isascii():
+                if max(w) < FIRST_OTHER:
                     if self.ascii_use is not None:
                         s[i] += len(w) * self.ascii_use
                     continue
@@ -199,23 +217,27 @@ class Labeller:
         return [0], [lead], size
 
     def _viterbi(self, s):
-        import numpy as np
-
-        n, k = s.shape
-        came = np.empty((n, k), np.int32)
-        stay = np.arange(k, dtype=np.int32)
-        v = s[0].copy()
-        for t in range(1, n):
-            b = int(v.argmax())
-            jump = v[b] - self.switch
-            came[t] = np.where(v >= jump, stay, b)
-            v = np.maximum(v, jump) + s[t]
-        path = np.empty(n, np.int32)
-        path[-1] = v.argmax()
-        for t in range(n - 1, 0, -1):
-            path[t - 1] = came[t, path[t]]
-        starts = np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1]]))
-        return starts.tolist(), path[starts].tolist()
+        # few languages: plain numbers are quicker than arrays
+        switch, came = self.switch, []
+        rows = s.tolist()
+        v = rows[0]
+        stay = list(range(len(v)))
+        for row in rows[1:]:
+            top = max(v)
+            jump = top - switch
+            if min(v) >= jump:
+                came.append(stay)
+                v = [x + y for x, y in zip(v, row)]
+            else:
+                b = v.index(top)
+                came.append([i if x >= jump else b for i, x in enumerate(v)])
+                v = [(x if x >= jump else jump) + y for x, y in zip(v, row)]
+        path = [v.index(max(v))]
+        for c in reversed(came):
+            path.append(c[path[-1]])
+        path.reverse()
+        starts = [0, *(i for i in range(1, len(path)) if path[i] != path[i - 1])]
+        return starts, [path[i] for i in starts]
 
     def label(self, texts: list[str | None]):
         """For each text: (language or None, share of the letters, spans as (first word, language))."""
@@ -224,7 +246,8 @@ class Labeller:
         split = [t.split() if t else [] for t in texts]
         if len(self.at) > MEMO_ENTRIES:
             self.reset()
-        self.learn({w for s in split for w in s if w not in self.at})
+        if self.langs:
+            self.learn({w for s in split for w in s if w not in self.at})
         out = []
         for words in split:
             starts, labels, size = self.spans(words) if words and self.langs else ([], [], None)
@@ -256,6 +279,7 @@ def predict(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id"
     mark = hash((model, switch))
 
     def run(batches):
+        gc.disable()  # the word tables are large and hold no cycles
         if mark not in _loaded:
             _loaded.clear()
             _loaded[mark] = Labeller(shared.value, switch)
