@@ -61,11 +61,14 @@ def reply_paths(messages: DataFrame, top: int | None = 1) -> DataFrame:
     hops = [hop.select("tree", "id", "up")]
     size = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
     for _ in range(max(1, size).bit_length()):
-        if hop.where("up is not null").isEmpty():
+        # messages whose stride has passed the root are finished and take no part in further joins
+        active = hop.where("up is not null")
+        if active.isEmpty():
             break
         above = hop.select(F.col("tree").alias("t2"), F.col("id").alias("i2"), F.col("up").alias("up2"), F.col("far").alias("far2"), F.col("score").alias("score2"))
-        met = hop.join(above, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("up") == F.col("i2")), "left")
-        hop = settle(met.select("tree", "id", F.col("up2").alias("up"), (F.col("far") + F.coalesce("far2", F.lit(0))).alias("far"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score")))
+        met = active.join(above, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("up") == F.col("i2")))
+        further = met.select("tree", "id", F.col("up2").alias("up"), (F.col("far") + F.col("far2")).alias("far"), (F.col("score") + F.col("score2")).alias("score"))
+        hop = settle(hop.where("up is null").select("tree", "id", "up", "far", "score").union(further))
         hops.append(hop.select("tree", "id", "up"))
     done = hop.where("up is null").select("tree", "id", "far", "score")
     inner = linked.where("pid is not null").select(F.col("tree").alias("pt"), F.col("pid").alias("has")).distinct()
