@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import bpe_trie, decontam, language_id, simhash
+from corvane.llm import bpe_trie, decontam, language_id, shingle_join
 from corvane.llm._common import tokenizer_path
 from corvane.runtime import scratch, table
 
@@ -29,11 +29,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of each group whose id is least (of rows that repeat an id, the least text)."""
-    names = docs.columns
-    keep = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    own = docs.join(keep, "doc_id", "left_semi")
-    return own.dropDuplicates(["doc_id"]).select(*names)
+    """Keep one row of each group of near copies: that with the least id (of rows that repeat it, the least text digest)."""
+    path = scratch(spark, "rows")
+    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    comp = shingle_join.near_duplicates(rows, key="_row")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"), "_row")
+    keep = rows.join(comp, "_row").groupBy("component_id").agg(F.min(order).alias("o")).select(F.col("o._row").alias("_row"))
+    return rows.join(keep, "_row", "left_semi").select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +53,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("language ID", identify_language),
-    ("SimHash near-dedup", drop_near_duplicates),
+    ("near-dedup", drop_near_duplicates),
     ("benchmark decontamination", drop_benchmark_passages),
     ("BPE encoding and decoding", encode_tokens),
 ]
