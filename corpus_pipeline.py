@@ -17,33 +17,38 @@ from corvane.runtime import scratch, table
 LEAST_SCORE = 0.4
 
 
+def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows with a number ``_row`` of their own, written once so that every read sees the same; ids may repeat or be null."""
+    path = scratch(spark, "rows")
+    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language: no letter, or no language with enough of the letters.
 
-    A document with a null key cannot be told apart and is dropped too.
+    A document with a null key is dropped too.
     """
     model = language_id.train(docs.where(~language_id.held_out()))
-    names = docs.columns
-    kept = language_id.predict(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*names)
+    rows = _numbered(spark, docs.where("doc_id is not null"))
+    kept = language_id.predict(rows, model, key="_row").where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("_row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of near copies: that with the least id (of rows that repeat it, the least text digest)."""
-    path = scratch(spark, "rows")
-    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = _numbered(spark, docs)
     comp = shingle_join.near_duplicates(rows, key="_row")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"), "_row")
-    keep = rows.join(comp, "_row").groupBy("component_id").agg(F.min(order).alias("o")).select(F.col("o._row").alias("_row"))
+    keep = rows.select("_row", order.alias("o")).join(comp, "_row").groupBy("component_id").agg(F.min("o").alias("o")).select(F.col("o._row").alias("_row"))
     return rows.join(keep, "_row", "left_semi").select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that copy a benchmark item."""
-    names = docs.columns
-    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*names)
+    rows = _numbered(spark, docs)
+    found = decontam.contaminated(rows, table(spark, sf_dir, "benchmark"), key="_row").select("_row").distinct()
+    return rows.join(found, "_row", "left_anti").select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,3 +70,16 @@ def test_stage_drops_near_copies_beyond_two_bits(spark):
     other = " ".join(rnd.sample(base, 200))
     d = spark.createDataFrame([(4, " ".join(edited)), (3, " ".join(base)), (5, other)], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in P.drop_near_duplicates(spark, d, "").collect()) == [3, 5]
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    import corpus_pipeline as P
+
+    rnd = random.Random(2)
+    one, two, item = (" ".join(f"w{rnd.randrange(900)}" for _ in range(80)) for _ in range(3))
+    # id 2 has a copy of row 1 and a clean text of its own; id 4 a benchmark passage and a clean text
+    d = spark.createDataFrame([(1, one), (2, one), (2, two)], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["text"]) for r in P.drop_near_duplicates(spark, d, "").collect()) == [(1, one), (2, two)]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    d = spark.createDataFrame([(4, item), (4, two), (None, item), (None, one)], "doc_id long, text string")
+    assert sorted(r["text"] for r in P.drop_benchmark_passages(spark, d, str(tmp_path)).collect()) == sorted([one, two])
