@@ -7,7 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.functions import hashing
 from corvane.operators.components import connected_components
 from corvane.runtime import settle
 
@@ -27,12 +26,38 @@ def leakage_groups(samples: DataFrame, fields: dict[str, Iterable[str]], key: st
     return samples.select(key).join(comp.withColumnRenamed("node", key), key, "left").select(key, F.coalesce("component", F.col(key)).alias("component"))
 
 
-def group_ids(groups: DataFrame, key: str = "id", long_groups: int = 100_000) -> DataFrame:
-    """Rows (key, group_id): a name from the sorted members; a group too large for one row is named by its least member and size."""
-    sized = groups.groupBy("component").agg(F.count("*").alias("n"))
-    small = groups.join(sized.where(F.col("n") <= long_groups), "component").groupBy("component").agg(F.array_sort(F.collect_list(F.col(key).cast("string"))).alias("m")).select("component", hashing.group_id(F.col("m")).alias("group_id"))
-    large = sized.where(F.col("n") > long_groups).select("component", F.concat(F.lit("lg_"), F.substring(F.sha2(F.concat_ws("|", F.col("component").cast("string"), F.col("n").cast("string")), 256), 1, 16)).alias("group_id"))
-    return groups.join(small.union(large), "component").select(key, "group_id")
+def group_ids(groups: DataFrame, key: str = "id") -> DataFrame:
+    """Rows (key, group_id): a name from the sorted members, the same recipe at every size.
+
+    The members' digest is taken row by row over sorted partitions, so no group
+    is ever held as a list; a group's rows are read by one task, in order.
+    """
+    kind = groups.schema["component"].dataType.simpleString()
+
+    def named(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        at, digest, some = None, None, False
+        for b in batches:
+            out = []
+            for c, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if c != at:
+                    if digest:
+                        out.append((at, "lg_" + digest.hexdigest()[:16]))
+                    at, digest, some = c, hashlib.sha256(), False
+                if k is not None:
+                    digest.update((("|" if some else "") + k).encode())
+                    some = True
+            ids, names = zip(*out) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(names, pa.string())], ["component", "group_id"])
+        if digest:
+            yield pa.RecordBatch.from_arrays([pa.array([at], b.schema.field(0).type), pa.array(["lg_" + digest.hexdigest()[:16]])], ["component", "group_id"])
+
+    members = groups.where("component is not null").select("component", F.col(key).cast("string").alias("k"))
+    names = members.repartition("component").sortWithinPartitions("component", "k").mapInArrow(named, f"component {kind}, group_id string")
+    return groups.join(names, "component").select(key, "group_id")
 
 
 def size_histogram(groups: DataFrame) -> DataFrame:

@@ -42,6 +42,14 @@ def test_leakage_groups(spark):
     assert {r["size"]: r["groups"] for r in dataset.size_histogram(g).collect()} == {3: 1, 1: 2}
 
 
+def test_large_groups_are_named_by_all_members(spark):
+    n = 100_002
+    g = spark.range(n).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") == 5, "5").otherwise("0").alias("component"))
+    want = "lg_" + hashlib.sha256("|".join(sorted(str(i) for i in range(n) if i != 5)).encode()).hexdigest()[:16]
+    got = {r["group_id"]: r["count"] for r in dataset.group_ids(g).groupBy("group_id").count().collect()}
+    assert got == {want: n - 1, "lg_" + hashlib.sha256(b"5").hexdigest()[:16]: 1}
+
+
 def unit(*parts):
     return int.from_bytes(hashlib.sha256("\0".join(map(str, parts)).encode()).digest()[:8], "big") / 2**64
 
