@@ -1,9 +1,10 @@
 """Language identification of mixed-language text.
 
 Model: for each language, smoothed log-probabilities of the character 1- to
-3-grams of words, learned here from labelled rows. A word's script (ranges of
-code points) narrows its candidates to the languages that were seen to use that
-script. Over a text's words, Viterbi finds the best sequence of languages under
+3-grams of words, learned here from labelled rows. A word's scripts (ranges of
+code points) narrow its candidates to the languages that were seen to use them
+all, or else one of them; a word in scripts that no language uses keeps all
+candidates. Over a text's words, Viterbi finds the best sequence of languages under
 a penalty for each switch; runs of one label are the spans. The text's language
 is the one whose spans hold most letters; the score is their share.
 """
@@ -16,6 +17,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvane.llm._common import MEMO_CHARS, MEMO_ENTRIES, small_batches
 
@@ -32,14 +34,14 @@ SCRIPTS = [
 FIRST_OTHER = chr(SCRIPTS[1][0])
 #: Share of a language's letters from which it counts as using a script.
 SCRIPT_SHARE = 0.01
-#: Log-score taken from a language that does not use a word's script, for each letter.
-OUTSIDE = 8.0
+#: Log-score of a language that is no candidate for a word: no switch costs as much.
+NEVER = -1e6
 #: Penalty for a switch between two words, in nats.
 SWITCH = 14.0
-#: Labelled rows that the model is learned from at most (expected; drawn by a hash of the row's key).
+#: Labelled rows that the model is learned from (expected number; drawn by a hash of the row).
 TRAIN_ROWS = 6_000
-#: n-grams kept for each language at most, the most frequent first.
-MODEL_GRAMS = 30_000
+#: n-grams kept for each language, the most frequent first; None keeps all that the sample holds.
+MODEL_GRAMS = None
 
 
 def script_of(ch: str) -> str:
@@ -59,21 +61,23 @@ def grams(word: str) -> list[str]:
     return [*word, *(w[i : i + 2] for i in range(len(w) - 1)), *(w[i : i + 3] for i in range(len(w) - 2))]
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = TRAIN_ROWS) -> str:
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = TRAIN_ROWS, keep: int | None = MODEL_GRAMS) -> str:
     """The model as JSON, learned from at most about ``rows`` labelled rows.
 
     Rows without text or label are left out. Rows are drawn by a hash of their
-    key, so the draw does not depend on order or partitions. The counts are
-    made where the rows are; the driver gets the kept n-grams only, at most
-    ``MODEL_GRAMS`` for each language. Without any labelled row the model is
-    empty.
+    key and text, so the draw does not depend on order or partitions; a row that
+    repeats counts once. The counts are
+    made where the rows are, over whole words; the driver gets the n-grams, as
+    many as the drawn rows hold (``keep`` bounds them for each language).
+    Without any labelled row the model is empty.
     """
     import pyarrow as pa
 
     small_batches(docs.sparkSession)
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
     total = known.count()
-    part = known.where(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30)) <= (1 << 30) * min(1.0, rows / max(total, 1)))
+    drawn = F.pmod(F.xxhash64(F.col(key).cast("string"), text), F.lit(1 << 30)) <= (1 << 30) * min(1.0, rows / max(total, 1))
+    part = known.where(drawn).select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).distinct()
 
     def count(batches):
         from collections import Counter
@@ -93,7 +97,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
         for l, words in sums.items():
             c: Counter = Counter()
             for w, n in words.items():
-                for g in grams(w[:MEMO_CHARS]):
+                for g in grams(w):
                     c[g] += n
                 for ch in w:
                     c["#" + script_of(ch)] += n
@@ -101,9 +105,11 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 
     from pyspark.sql import Window
 
-    table = part.select(F.col(text), F.col(lang)).mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    got = table.withColumn("r", rank).where((F.col("r") <= MODEL_GRAMS) | F.col("gram").startswith("#")).select("lang", "gram", "n").toPandas()
+    table = part.select("t", "l").mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    if keep is not None:
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+        table = table.withColumn("r", rank).where((F.col("r") <= keep) | F.col("gram").startswith("#"))
+    got = table.select("lang", "gram", "n").toPandas()
     langs = sorted(set(got["lang"]))
     scripts: dict[str, list[str]] = {}
     probs: dict[str, list[float]] = {}
@@ -150,8 +156,8 @@ class Labeller:
         self.table = np.array(list(spec["probs"].values())).reshape(len(at), len(self.langs))
         floors = [at.pop(f"?{k}?floor", 0) for k in (1, 2, 3)]
         self.gram_rows = [_Rows(f, ((g, i) for g, i in at.items() if len(g) == k)) for k, f in zip((1, 2, 3), floors)]
-        self.uses = {s: np.array([0.0 if l in ls else -OUTSIDE for l in self.langs]) for s, ls in spec["scripts"].items()}
-        self.ascii_use = self.uses.get("latin")
+        self.uses = {s: np.array([l in ls for l in self.langs]) for s, ls in spec["scripts"].items()}
+        self.narrowed: dict[frozenset, object] = {}
         self.reset()
 
     def reset(self) -> None:
@@ -163,6 +169,19 @@ class Labeller:
         self.size = np.zeros(1024, np.int64)
         self.used = 1
 
+    def candidates(self, scripts: frozenset[str]):
+        """Which languages a word in these scripts may be in."""
+        import numpy as np
+
+        got = self.narrowed.get(scripts)
+        if got is None:
+            known = [self.uses[s] for s in scripts if s in self.uses]
+            got = np.logical_and.reduce(known) if known else np.ones(len(self.langs), bool)
+            if not got.any():
+                got = np.logical_or.reduce(known)
+            self.narrowed[scripts] = got
+        return got
+
     def learn(self, chunks: set[str]) -> None:
         """Score new words together: their n-grams' rows are added up in one pass."""
         import numpy as np
@@ -179,16 +198,10 @@ class Labeller:
                 flat += map(two, [x[i : i + 2] for i in range(len(x) - 1)])
                 flat += map(three, [x[i : i + 3] for i in range(len(x) - 2)])
             s = np.add.reduceat(self.table[flat], starts, axis=0) / 3
-            for i, w in enumerate(new):
-                if max(w) < FIRST_OTHER:
-                    if self.ascii_use is not None:
-                        s[i] += len(w) * self.ascii_use
-                    continue
-                for ch in w:
-                    use = self.uses.get(script_of(ch))
-                    if use is not None:
-                        s[i] += use
-            s -= s.max(axis=1, keepdims=True)
+            latin = self.candidates(frozenset(["latin"]))
+            out = np.array([latin if max(w) < FIRST_OTHER else self.candidates(frozenset(map(script_of, w))) for w in new]).reshape(s.shape)
+            s -= np.where(out, s, NEVER).max(axis=1, keepdims=True)
+            s[~out] = NEVER
             end = self.used + len(new)
             while end > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
@@ -257,14 +270,17 @@ class Labeller:
             by = np.bincount(labels, weights=np.add.reduceat(size, starts), minlength=len(self.langs))
             best = int(by.argmax())
             out.append((self.langs[best], float(by[best] / by.sum()), [(int(a), self.langs[b]) for a, b in zip(starts, labels)]))
+        for w in {w for s in split for w in s if len(w) > MEMO_CHARS}:  # long words are not kept
+            self.by_letters.pop(letters(w) or None, None)
+            self.at.pop(w, None)
         return out
 
 
 _loaded: dict[int, Labeller] = {}
 
 
-def predict(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id", switch: float = SWITCH) -> DataFrame:
-    """Rows (key, lang_pred, score, n_spans, spans), one for each input row.
+def predict(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id", switch: float = SWITCH, spans: bool = True) -> DataFrame:
+    """Rows (key, lang_pred, score, n_spans, spans), one for each input row; without ``spans`` that column is left out.
 
     ``lang_pred`` is a learned language, or ``und`` (score 0, no spans) if the
     text is null, empty or has no letter, or if nothing was learned. Equal
@@ -275,7 +291,7 @@ def predict(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id"
     import pyarrow as pa
 
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MODEL_GRAMS for each language
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the rows it was learned from
     mark = hash((model, switch))
 
     def run(batches):
@@ -287,13 +303,17 @@ def predict(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id"
         span = pa.list_(pa.struct([("start", pa.int32()), ("lang", pa.string())]))
         for b in batches:
             got = label(b.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([g[0] or "und" for g in got]), pa.array([g[1] for g in got], pa.float64()), pa.array([len(g[2]) for g in got], pa.int32()), pa.array([[{"start": a, "lang": l} for a, l in g[2]] for g in got], span)],
-                ["k", "lang_pred", "score", "n_spans", "spans"],
-            )
-
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, f"k {kind}, lang_pred string, score double, n_spans int, spans array<struct<start:int,lang:string>>").withColumnRenamed("k", key)
+            out = [b.column(0), pa.array([g[0] or "und" for g in got]), pa.array([g[1] for g in got], pa.float64()), pa.array([len(g[2]) for g in got], pa.int32())]
+            if spans:
+                out.append(pa.array([[{"start": a, "lang": l} for a, l in g[2]] for g in got], span))
+            yield pa.RecordBatch.from_arrays(out, names)
+
+    own = T.StructField("k", docs.schema[key].dataType)
+    made = T.StructType([own, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("n_spans", T.IntegerType())])
+    if spans:
+        made.add("spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("lang", T.StringType())])))
+    names = made.names
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, made).withColumnRenamed("k", key)
 
 
 def held_out(key: str = "doc_id"):
