@@ -26,8 +26,6 @@ from pyspark.sql import functions as F
 
 from corvane.llm._common import MEMO_CHARS, small_batches, tokenizer_path
 
-#: White space of the vocabulary's pattern language (fixed values, the Unicode property White_Space).
-SPACE = r"\t\n\x0b\x0c\r\x20\x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: Words that a worker remembers at most.
 WORDS_KEPT = 700_000
 #: The word pattern that the quicker engine can stand in for.
@@ -46,7 +44,8 @@ def byte_symbols() -> list[str]:
 class TrieBpe:
     """BPE with a word-end suffix: ``vocab`` (token -> id), ``merges`` in rank order."""
 
-    def __init__(self, vocab: dict[str, int], merges: list, suffix: str = "</w>"):
+    def __init__(self, vocab: dict[str, int], merges: list, suffix: str = "</w>", reached: frozenset[int] | None = None):
+        """``reached``: ids of the tokens that the merges make of their own symbols, if they are known already."""
         self.vocab, self.suffix = vocab, suffix
         self.rank = {(m.split(" ") if isinstance(m, str) else m)[0] + "\0" + (m.split(" ") if isinstance(m, str) else m)[1]: i for i, m in enumerate(merges)}
         self.name = {i: t for t, i in vocab.items()}
@@ -60,10 +59,11 @@ class TrieBpe:
             tails, body = (self.final, t[:-k]) if at_end else (self.inner, t)
             for j in range(1, len(body)):
                 tails.setdefault(body[j:], -1)
-            if self.merged(self.symbols(t)) == [t]:
+            if (i in reached) if reached is not None else self.merged(self.symbols(t)) == [t]:
                 tails[body] = i
             else:
                 tails.setdefault(body, -1)
+        self.reached = frozenset(i for tails in (self.final, self.inner) for i in tails.values() if i >= 0)
         self._right: dict[int, list] = {}
         self._left: dict[int, list] = {}
         self._join: dict[int, bool] = {}
@@ -187,19 +187,21 @@ class TrieBpe:
 class WordBpe:
     """The text side of the vocabulary: normal form, words, ids and decoded text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, reached: frozenset[int] | None = None):
         import regex
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.bpe = TrieBpe(spec["model"]["vocab"], spec["model"]["merges"], spec["model"]["end_of_word_suffix"])
+        self.bpe = TrieBpe(spec["model"]["vocab"], spec["model"]["merges"], spec["model"]["end_of_word_suffix"], reached)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(pattern.replace(r"\s", SPACE), regex.V0).findall
-        # the same words by the quicker standard engine, where a text holds none of the characters on which the two differ
-        odd = [chr(c) for c in range(128, 0x110000) if chr(c).isalnum() and not chr(c).isalpha() and unicodedata.category(chr(c)) != "Nd"]
-        self.plain_words = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+").findall if pattern == PLAIN else None
-        self.odd = frozenset(odd) | {"\x1c", "\x1d", "\x1e", "\x1f"}
+        # the library's own normal form and word cutting, for characters on which the quicker engine differs
+        bare = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": spec["model"] | {"vocab": {}, "merges": []}}))
+        self.normal, self.pre = bare.normalizer.normalize_str, bare.pre_tokenizer.pre_tokenize_str
+        self.quick_words = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+").findall if pattern == PLAIN else None
+        self.same: set[str] = set()
+        self.unlike: set[str] = set()
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
         self.bytes = byte_symbols()
         self.names = {i: t.encode() for t, i in [*self.bpe.vocab.items(), *self.special.items()]}
@@ -213,6 +215,27 @@ class WordBpe:
         self.ids.update((s, array("I", [i]).tobytes()) for s, i in self.special.items())
         self.decoded.update((s, s.encode()) for s in self.special)
 
+    def _library(self, part: str) -> list[str]:
+        low = self.normal(part)
+        return [low[a:b] for _, (a, b) in self.pre(low)]
+
+    def _quick(self, part: str) -> list[str]:
+        low = unicodedata.normalize("NFC", part)
+        return self.quick_words("".join(c.lower() for c in low) if "\u03a3" in low else low.lower())
+
+    def _all_same(self, chars: set[str]) -> bool:
+        """Whether both ways treat all these characters alike; each new one is tried once beside letters, digits and spaces."""
+        if not chars <= self.same:
+            for c in chars - self.same:
+                if c in self.unlike:
+                    return False
+                probe = f"a{c}b {c}1{c} x{c}{c}"
+                if self.quick_words is None or unicodedata.category(c) in ("Cn", "Cs") or self._quick(probe) != self._library(probe):
+                    self.unlike.add(c)
+                    return False
+                self.same.add(c)
+        return True
+
     def pieces(self, text: str) -> list[str]:
         """Words in normal form and special tokens, in order."""
         out: list[str] = []
@@ -220,10 +243,7 @@ class WordBpe:
             if part in self.special:
                 out.append(part)
             elif part:
-                low = unicodedata.normalize("NFC", part)
-                low = "".join(c.lower() for c in low) if "\u03a3" in low else low.lower()
-                quick = self.plain_words and self.odd.isdisjoint(set(low))
-                out += (self.plain_words if quick else self.words)(low)
+                out += self._quick(part) if self._all_same(set(part)) else self._library(part)
         return out
 
     def learn(self, words) -> None:
@@ -250,9 +270,9 @@ class WordBpe:
         return out
 
 
-def codec(path: str) -> WordBpe:
+def codec(path: str, reached: frozenset[int] | None = None) -> WordBpe:
     if path not in _loaded:
-        _loaded[path] = WordBpe(path)
+        _loaded[path] = WordBpe(path, reached)
     return _loaded[path]
 
 
@@ -269,13 +289,14 @@ def encode_decode(docs: DataFrame, text: str = "text", key: str = "doc_id", voca
 
     path = vocabulary or tokenizer_path("word_bpe_49k.json")
     small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(codec(path).bpe.reached)  # at most the vocabulary's ids; tried once here, not by each worker
 
     def run(batches):
         import numpy as np
 
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for b in batches:
-            rows = codec(path).encode([t or "" for t in b.column(1).to_pylist()])
+            rows = codec(path, shared.value).encode([t or "" for t in b.column(1).to_pylist()])
             n = pa.array([len(r[0]) // 4 for r in rows], pa.int64())
             if digests:
                 yield pa.RecordBatch.from_arrays([b.column(0), n, pa.array([sha(r[0]) for r in rows]), pa.array([sha(r[1]) for r in rows])], ["k", "n_tokens", "ids_sha256", "decoded_sha256"])
