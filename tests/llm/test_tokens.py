@@ -103,3 +103,46 @@ def test_word_cutting_equals_the_library():
     made = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 12))) for _ in range(4000)]
     for t, ids in zip(made, own.encode(made)):
         assert np.frombuffer(ids, own.kind).tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_letters_are_the_librarys_own():
+    lib, own = library("word_bpe_49k.json"), bpe_trie.codec(tokenizer_path("word_bpe_49k.json"))
+    points = [c for c in [*range(0x20000), *range(0x20000, 0x110000, 97)] if not 0xD800 <= c < 0xE000]
+    unlike = []
+    for at in range(0, len(points), 2000):
+        part = [f"a{chr(c)}b {chr(c)}1{chr(c)} x" for c in points[at : at + 2000]]
+        got = [np.frombuffer(i, "<u4").tolist() for i, _ in own.encode(part)]
+        unlike += [t for t, ids, e in zip(part, got, lib.encode_batch(part, add_special_tokens=False)) if ids != e.ids]
+    assert not unlike, unlike[:5]
+
+
+def test_mixed_texts_with_new_letters():
+    lib, own = library("word_bpe_49k.json"), bpe_trie.codec(tokenizer_path("word_bpe_49k.json"))
+    rnd = random.Random(7)
+    parts = ["a", "Z", "é", "\u0301", "\u1c89", "\ua7cb", "\U000105c0", "\U00010d50", "ΑΣ", "ς", "İ", "ﬁ", "½", "\x1c", "\u00a0", "\u2028", " ", "1", "٣", "'s", "<|endoftext|>", "🙂", "\u0378", "\u212b", "가", "\u1100\u1161"]
+    made = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 14))) for _ in range(3000)]
+    for t, (ids, decoded) in zip(made, own.encode(made)):
+        want = lib.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want and decoded.decode() == lib.decode(want, skip_special_tokens=False), repr(t)
+
+
+def test_normaliser_is_read_from_the_model_file():
+    with open(tokenizer_path("piece_bpe_32k.model"), "rb") as f:
+        raw = f.read()
+    assert token_counts.takes_texts_as_they_are(raw)
+    model = token_counts.fields(raw)
+    assert len(model[token_counts.PIECES]) == 32_000
+    field = lambda n, b: bytes([n << 3 | 2, len(b)]) + b
+    kept, piece = bytes([4 << 3, 0]), field(1, b"x")
+    assert token_counts.takes_texts_as_they_are(field(3, kept))
+    for bad in (b"", kept + field(2, b"map"), kept + bytes([3 << 3, 0]), kept + bytes([5 << 3, 0])):
+        assert not token_counts.takes_texts_as_they_are(field(3, bad))
+    assert not token_counts.takes_texts_as_they_are(field(3, kept) + field(1, piece + bytes([3 << 3, 4])))
+    assert not token_counts.takes_texts_as_they_are(field(3, kept) + field(2, bytes([0xC0, 0x01, 1])))
+
+
+def test_sequences_of_repeated_and_null_keys(odd, texts):
+    lib = library("byte_bpe_50k.json")
+    got = Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in arrow_ids.sequence_index(odd).collect())
+    ids = [np.array(lib.encode(t or "", add_special_tokens=False).ids + [0], "<u4") for _, t in texts]
+    assert got == Counter((k, len(i), zlib.crc32(i.tobytes())) for (k, _), i in zip(texts, ids))
