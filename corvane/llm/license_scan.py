@@ -5,7 +5,11 @@ the same hash in the templates. A match at text word p and template word q is a
 vote for the diagonal p - q; votes are counted by diagonal. For base phrases a
 diagonal with all votes is a place. For longer templates neighbouring diagonals
 (words left out or put in) are merged where their spans meet, and a merged span
-is verified by the share of the template's k-grams that it covers.
+is verified: the longest chain of different template k-grams that stand in it in
+the template's order must cover enough of the template.
+
+Texts are cut and hashed once. Each row carries one mark that always finds a
+partner, so a row without votes is not lost at the join.
 """
 
 from __future__ import annotations
@@ -37,56 +41,66 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower()), F.lit(WORD), F.lit(0))
 
 
-def _grams(words: Column) -> Column:
+def _grams(ws: Column) -> Column:
     """Hashes of all rolling k-grams of an array of words, in order."""
-    return F.get(F.transform(F.array(words), lambda ws: F.transform(F.slice(ws, F.lit(1), F.greatest(F.size(ws) - (K - 1), F.lit(0))), lambda x, i: F.xxhash64(x, *(F.get(ws, i + j) for j in range(1, K))))), F.lit(0))
+    return F.transform(F.slice(ws, F.lit(1), F.greatest(F.size(ws) - (K - 1), F.lit(0))), lambda x, i: F.xxhash64(x, *(F.get(ws, i + j) for j in range(1, K))))
 
 
 def template_grams(spark: SparkSession, base: list = BASE, notices: list = NOTICES) -> DataFrame:
     """Rows (h, label, is_base, q, size): each template k-gram's hash, its position and the template's k-grams."""
     rows = [(t, label, True) for t, label in base] + [(t, label, False) for t, label in notices]
-    made = spark.createDataFrame(rows, "t string, label string, is_base boolean").withColumn("g", _grams(words_of(F.col("t"))))
+    made = spark.createDataFrame(rows, "t string, label string, is_base boolean").withColumn("w", words_of(F.col("t"))).withColumn("g", _grams(F.col("w")))
     return made.select("label", "is_base", F.size("g").alias("size"), F.posexplode("g").alias("q", "h"))
 
 
+def longest_chain(votes: Column) -> Column:
+    """Length of the longest chain of an array of struct(q, p), both rising: for each length the least end, word by word."""
+    order = F.array_sort(F.transform(votes, lambda v: F.struct(v["q"].alias("q"), (-v["p"]).alias("p"))))  # of one q, the last place first, so that it counts once
+
+    def step(ends, v):
+        p = -v["p"]
+        below = F.size(F.filter(ends, lambda e: e < p))
+        return F.concat(F.slice(ends, F.lit(1), below), F.array(p), F.slice(ends, below + 2, F.greatest(F.size(ends) - below - 1, F.lit(0))))
+
+    return F.size(F.aggregate(order, F.array().cast("array<int>"), step))
+
+
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", base: list = BASE, notices: list = NOTICES) -> DataFrame:
     """Rows (key, n_words, n_base, first_word, last_word, base_labels, labels, score), one for each input row.
 
     ``n_base``: places of base phrases; ``first_word`` and ``last_word``: their
     least and greatest start (null if none). Labels are distinct, sorted and
     joined by commas, empty if none. ``score``: the greatest share of a
-    template that a verified span covers, 1 with any base place, else 0. Null
-    texts are empty. Repeated rows each get the result of one; keys may be
-    null; other columns are not read. Phrases have at least two words.
+    template's k-grams that a verified span holds in order, 1 with any base
+    place, else 0. Null texts are empty. Repeated rows are rows of their own;
+    keys may be null; other columns are not read. Spans of templates that
+    overlap count each, and so do equal templates under two labels. Phrases
+    have at least two words. An empty table gives no rows.
 
     The templates are a fixed list of a few hundred k-grams and are broadcast;
     text k-grams that no template has end at that join.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("x"), F.col(text).alias("t"))
-    marks = F.broadcast(template_grams(spark, base, notices))
-    flat = rows.select("k", "x", F.posexplode(_grams(words_of(F.col("t")))).alias("p", "h"))
-    votes = flat.join(marks, "h").select("k", "x", "label", "is_base", "size", "q", "p", (F.col("p") - F.col("q")).alias("d"))
-    # a repeated row votes again for the same cells; distinct cells make it count once
-    lines = votes.groupBy("k", "x", "label", "is_base", "size", "d", "q").agg(F.min("p").alias("p")).groupBy("k", "x", "label", "is_base", "size", "d").agg(F.count("*").alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi"))
-    places = lines.where("is_base and n = size").select("k", "x", "label", "is_base", F.col("d").cast("long").alias("start"), F.lit(1.0).alias("share"))
-    near = Window.partitionBy("k", "x", "label", "size").orderBy("d")
-    apart = (F.col("d") - F.lag("d").over(near) > DRIFT) | (F.abs(F.col("lo") - F.lag("hi").over(near)) > F.col("size"))
-    merged = lines.where("not is_base").withColumn("new", F.when(F.coalesce(apart, F.lit(True)), 1).otherwise(0)).withColumn("run", F.sum("new").over(near))
-    spans = merged.groupBy("k", "x", "label", "size", "run").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    share = F.least(F.col("n") / F.col("size"), F.lit(1.0))
-    # verified: enough of the template, on a stretch that is not much longer than it
-    sure = spans.where((share >= COVER) & (F.col("hi") - F.col("lo") <= F.col("size") + F.lit(2 * DRIFT)))
-    own = sure.select("k", "x", "label", F.lit(False).alias("is_base"), F.lit(None).cast("long").alias("start"), share.alias("share"))
+    mark = spark.range(1).select(F.xxhash64(F.lit("every row")).alias("h"), F.lit(None).cast("string").alias("label"), F.lit(None).cast("boolean").alias("is_base"), F.lit(0).alias("size"), F.lit(0).alias("q"))
+    marks = F.broadcast(template_grams(spark, base, notices).select("h", "label", "is_base", "size", "q").union(mark))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("k"), words_of(F.col(text)).alias("w"))
+    rows = rows.select("row", "k", F.size("w").alias("n_words"), F.concat(F.array(F.xxhash64(F.lit("every row"))), _grams(F.col("w"))).alias("g"))
+    flat = rows.select("row", "k", "n_words", F.posexplode("g").alias("p", "h"))
+    votes = flat.join(marks, "h").select("row", "k", "n_words", "label", "is_base", "size", "q", (F.col("p") - 1).alias("p"), (F.col("p") - 1 - F.col("q")).alias("d")).repartition("row")
+    one = ["row", "k", "n_words", "label", "is_base", "size"]
+    lines = votes.groupBy(*one, "d").agg(F.count("*").alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi"), F.collect_list(F.struct("q", "p")).alias("votes"))
+    near = Window.partitionBy("row", "label", "is_base", "size").orderBy("d")
+    # base phrases: each diagonal by itself; notices: runs of neighbouring ones
+    apart = F.col("is_base") | (F.col("d") - F.lag("d").over(near) > DRIFT) | (F.abs(F.col("lo") - F.lag("hi").over(near)) > F.col("size"))
+    runs = lines.withColumn("new", F.when(F.coalesce(apart, F.lit(True)), 1).otherwise(0)).withColumn("run", F.sum("new").over(near))
+    spans = runs.groupBy(*one, "run").agg(F.sum("n").alias("n"), F.min("d").alias("d"), F.flatten(F.collect_list("votes")).alias("votes"))
+    # only spans with enough votes at all are verified
+    held = F.when(F.col("is_base"), F.col("n")).when(F.col("n") >= COVER * F.col("size"), longest_chain(F.col("votes"))).otherwise(0)
+    sure = spans.withColumn("share", F.when(F.col("size") > 0, held / F.col("size")).otherwise(0.0))
+    sure = sure.withColumn("hit", F.coalesce(F.col("share") >= F.when(F.col("is_base"), 1.0).otherwise(COVER), F.lit(False)) & F.col("label").isNotNull())
+    start = F.when(F.col("hit") & F.col("is_base"), F.col("d").cast("long"))
     text_of = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
-    found = places.union(own).groupBy("k", "x").agg(
-        F.count("start").alias("n_base"), F.min("start").alias("first_word"), F.max("start").alias("last_word"),
-        text_of(F.when(F.col("is_base"), F.col("label"))).alias("base_labels"), text_of("label").alias("labels"), F.max("share").alias("score"),
-    )
-    found = found.withColumnRenamed("k", "fk").withColumnRenamed("x", "fx")
-    all_rows = rows.select("k", "x", F.size(words_of(F.col("t"))).cast("long").alias("n_words"))
-    out = all_rows.join(found, F.col("k").eqNullSafe(F.col("fk")) & (F.col("x") == F.col("fx")), "left")
-    return out.select(
-        F.col("k").alias(key), "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
-        F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"),
-    )
+    return sure.groupBy("row", "k", "n_words").agg(
+        F.count(start).alias("n_base"), F.min(start).alias("first_word"), F.max(start).alias("last_word"),
+        text_of(F.when(F.col("hit") & F.col("is_base"), F.col("label"))).alias("base_labels"), text_of(F.when(F.col("hit"), F.col("label"))).alias("labels"), F.max(F.when(F.col("hit"), F.col("share")).otherwise(0.0)).alias("score"),
+    ).select(F.col("k").alias(key), F.col("n_words").cast("long").alias("n_words"), "n_base", "first_word", "last_word", "base_labels", "labels", "score")
