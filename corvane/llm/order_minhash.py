@@ -1,18 +1,16 @@
 """Order MinHash fingerprints with DataFrame functions only.
 
 A text's words give k-mers, each numbered by its occurrence, so that repeats
-count. A sketch takes the k-mers that are least under two orders of their
-hashes, keeps them in text order and hashes the pair: two texts agree on a
-sketch only if they share the k-mers and their order, which follows edit
-distance and not just shared content. The fingerprint is the sketches in line;
-likeness is the share of equal ones.
-
-Everything about one text happens in its own row: k-mers are packed as longs
-(hash bits above, position below), sorting the longs puts equal k-mers side by
-side in text order, and a k-mer's number is how far back its run reaches. The
-rows are then exploded into longs and each order's least is an aggregate that
-is made before any shuffle (orders are XORs with constants whose leading bits
-differ).
+count. Every sketch has an order of its own, a rehash of the numbered k-mers,
+and takes the two that are least under it, keeps them in text order and hashes
+the pair: two texts agree on a sketch only if they share both k-mers and their
+order, which follows edit distance and not just shared content. The fingerprint
+is the sketches in line; likeness is the share of equal ones.
+
+Everything about one text happens in its own row, so nothing is shuffled but the
+neighbours' texts: the k-mers' hashes are sorted with their positions, which
+puts equal ones side by side in text order, and a k-mer's number is how far back
+its run reaches. Hashes and positions are two fields of full width.
 """
 
 from __future__ import annotations
@@ -20,66 +18,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Words in a k-mer, sketches, and bits of a long that hold the position.
-WORDS, SKETCHES, POS = 3, 16, 24
-MASK = (1 << POS) - 1
-#: Buckets of consecutive keys for each shuffle partition.
-BUCKETS = 4
+from corvane.runtime import parts_for
 
+#: Words in a k-mer, and sketches.
+WORDS, SKETCHES = 3, 16
+#: Steps back that double up to the length of the longest array.
+STEPS = [1 << b for b in range(30, -1, -1)]
+#: Bytes of stored input for each task, and buckets of consecutive keys for each task.
+TASK_BYTES, BUCKETS = 128 << 20, 4
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is read."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-def orders(sketches: int = SKETCHES) -> list[int]:
-    """Two constants for each sketch: their leading bits count up, the others come from a fixed rule."""
-    n = 2 * sketches
-    lead = max(1, (n - 1).bit_length())
-    out, x = [], 0x9E3779B97F4A7C15
-    for i in range(n):
-        x = (x * 6364136223846793005 + 1442695040888963407) & ((1 << 64) - 1)
-        out.append(_signed(((i << (64 - lead)) | (x >> lead)) & ~MASK & ((1 << 64) - 1)))
-    return out
 
+def numbered_kmers(text: Column, words: int = WORDS) -> Column:
+    """struct(ids array<long>, at array<int>): hashes of the occurrence-numbered k-mers and their first words.
 
-def packed_kmers(text: Column, words: int = WORDS) -> Column:
-    """array<long>: each occurrence-numbered k-mer's hash with its position in the low bits.
-
-    Fewer words than a k-mer has: one k-mer of all of them; no words: an empty array.
+    Fewer words than a k-mer has: one k-mer of all of them; no words: empty arrays.
     """
     w = F.filter(F.split(text, r"\s+"), lambda x: x != "")
-    put = lambda h, at: h.bitwiseAND(F.lit(~MASK)).bitwiseOR(F.least(at, F.lit(MASK)).cast("long"))
-    same = lambda a, b: F.shiftright(a, POS) == F.shiftright(b, POS)
 
     def kmers(ws):
         n = F.greatest(F.size(ws) - (words - 1), F.least(F.size(ws), F.lit(1)))
-        return F.transform(F.slice(ws, F.lit(1), n), lambda x, i: put(F.xxhash64(x, *(F.get(ws, i + j) for j in range(1, words))), i))
+        return F.transform(F.slice(ws, F.lit(1), n), lambda x, i: F.struct(F.xxhash64(x, *(F.get(ws, i + j) for j in range(1, words))).alias("h"), i.alias("p")))
+
+    def number(h, x, i):
+        def back(t, b):
+            there = i - t - b
+            return F.when((there >= 0) & (F.get(h, F.greatest(there, F.lit(0))) == x), t + b).otherwise(t)
+
+        far = F.aggregate(F.array(*map(F.lit, STEPS)), F.lit(0), back)
+        return F.when((i > 0) & (F.get(h, F.greatest(i - 1, F.lit(0))) == x), far).otherwise(F.lit(0))
+
+    def ids(s):
+        return _bound(s["h"], lambda h: F.struct(F.transform(h, lambda x, i: F.xxhash64(x, number(h, x, i))).alias("ids"), s["p"].alias("at")))
+
+    return _bound(F.array_sort(_bound(w, kmers)), ids)
+
+
+def sketch(kmers: Column, sketches: int = SKETCHES) -> Column:
+    """array<long>: for each sketch the hash of its two least k-mers in text order; of the only one; 0 without any."""
+
+    def one(i: int) -> Column:
+        def of(rank):
+            low = F.array_min(rank)
 
-    def number(s, x, i):
-        steps = F.array(*(F.lit(1 << b) for b in range(POS - 1, -1, -1)))
-        far = F.aggregate(steps, F.lit(0), lambda t, b: F.when((i - t - b >= 0) & same(F.get(s, F.greatest(i - t - b, F.lit(0))), x), t + b).otherwise(t))
-        return F.when((i > 0) & same(F.get(s, F.greatest(i - 1, F.lit(0))), x), far).otherwise(F.lit(0))
+            def pair(m):
+                next_ = F.array_min(F.array_remove(rank, m))
+                return _bound(next_, lambda n: F.when(n.isNull(), F.xxhash64(m)).when(where(m) <= where(n), F.xxhash64(m, n)).otherwise(F.xxhash64(n, m)))
 
-    def numbered(s):
-        return F.transform(s, lambda x, i: put(F.xxhash64(F.shiftright(x, POS), number(s, x, i)), x.bitwiseAND(F.lit(MASK))))
+            def where(value):
+                return F.get(kmers["at"], (F.array_position(rank, value) - 1).cast("int"))
 
-    # one-element arrays bind the words and the sorted k-mers, so each is computed once
-    first = F.get(F.transform(F.array(w), kmers), F.lit(0))
-    return F.get(F.transform(F.array(F.sort_array(first)), numbered), F.lit(0))
+            return _bound(low, pair)
 
+        return F.when(F.size(kmers["ids"]) == 0, F.lit(0)).otherwise(_bound(F.transform(kmers["ids"], lambda x: F.xxhash64(F.lit(i).cast("long"), x)), of))
 
-def sketch_columns(sketches: int = SKETCHES) -> tuple[list[Column], Column]:
-    """(aggregates m0.. over the exploded column ``v``, the array of sketch hashes made of them)."""
-    cs = orders(sketches)
-    mins = [F.min(F.col("v").bitwiseXOR(F.lit(c))).alias(f"m{i}") for i, c in enumerate(cs)]
-    pos = lambda i: F.col(f"m{i}").bitwiseAND(F.lit(MASK))
-    ident = lambda i: F.shiftright(F.col(f"m{i}").bitwiseXOR(F.lit(cs[i])), POS)
-    pairs = []
-    for j in range(sketches):
-        a, b = 2 * j, 2 * j + 1
-        straight = pos(a) <= pos(b)
-        pairs.append(F.when(F.col("m0").isNull(), F.lit(0)).otherwise(F.xxhash64(F.when(straight, ident(a)).otherwise(ident(b)), F.when(straight, ident(b)).otherwise(ident(a)))))
-    return mins, F.array(*pairs)
+    return F.array(*map(one, range(sketches)))
 
 
 def as_text(sketches: Column) -> Column:
@@ -94,24 +91,24 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, sketches: int = SKETCHES) -> DataFrame:
     """Rows (key, fingerprint), one for each input row; null text: as empty; equal texts have equal fingerprints."""
-    mins, made = sketch_columns(sketches)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("k"), packed_kmers(F.coalesce(F.col(text), F.lit("")), words).alias("vs"))
-    flat = rows.select("row", "k", F.explode_outer("vs").alias("v"))
-    return flat.groupBy("row", "k").agg(*mins).select(F.col("k").alias(key), as_text(made).alias("fingerprint"))
+    made = _bound(numbered_kmers(F.coalesce(F.col(text), F.lit("")), words), lambda k: sketch(k, sketches))
+    return docs.select(F.col(key), as_text(made).alias("fingerprint"))
 
 
 def key_bucket(docs: DataFrame, key: str, n: int) -> Column:
-    """Number of a row's bucket of consecutive keys; at most ``n`` bounds come to the driver."""
+    """Number of a row's bucket of consecutive keys, found by halving; at most ``n`` bounds come to the driver."""
     cuts = docs.select(F.percentile_approx(key, [i / n for i in range(1, n)], 10 * n)).first()[0] if n > 1 else []
     cuts = sorted(set(cuts or []))
+    if not cuts:
+        return F.lit(0)
+    bounds = F.array(*map(F.lit, cuts))
+    halves = [1 << b for b in range(len(cuts).bit_length() - 1, -1, -1)]
 
-    def pick(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(key) <= cuts[mid], pick(lo, mid)).otherwise(pick(mid + 1, hi))
+    def step(at, b):  # the first ``at`` bounds lie below the key
+        inside = at + b <= len(cuts)
+        return F.when(inside & (F.get(bounds, F.least(at + b, F.lit(len(cuts))) - 1) < F.col(key)), at + b).otherwise(at)
 
-    return pick(0, len(cuts))
+    return F.aggregate(F.array(*map(F.lit, halves)), F.lit(0), step)
 
 
 def neighbour_likeness(docs: DataFrame, text: str = "text", key: str = "doc_id", share: int = 4, words: int = WORDS, sketches: int = SKETCHES, buckets: int | None = None) -> DataFrame:
@@ -121,38 +118,33 @@ def neighbour_likeness(docs: DataFrame, text: str = "text", key: str = "doc_id",
     the first as many (or all) of the next row in ascending order of key, then
     text; null keys come first; after the last row comes the first. Null texts
     are empty. Two texts without words are alike (1). Rows that repeat stay
-    rows of their own. An empty table gives no rows. Keys are integers; other
-    columns are not read.
+    rows of their own; all rows of one key share a bucket. An empty table gives
+    no rows. Keys are integers; other columns are not read.
 
     Rows are dealt by buckets of consecutive keys. The first row of each bucket
     is also put at the end of the bucket before it (one row a bucket), so no
     order over all rows is ever made in one task, and nothing is shuffled again
     after the rows are dealt.
     """
-    spark = docs.sparkSession
     base = docs.select(F.col(key).alias("k"), F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("o"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    n = buckets or BUCKETS * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = parts_for(docs, TASK_BYTES)
+    n = buckets or BUCKETS * tasks
     base = base.withColumn("b", key_bucket(base, "o", n))
     least = base.groupBy("b").agg(F.min("o").alias("o"))
     heads = base.join(F.broadcast(least), ["b", "o"]).groupBy("b", "o", "k").agg(F.min("t").alias("t"))
     ring = Window.orderBy("b")  # over one row for each bucket
     last = F.max("b").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     ends = heads.select(F.coalesce(F.lag("b").over(ring), last).alias("b"), "o", "k", "t", F.lit(1).alias("s"))
-    both = base.select("b", "o", "k", "t", F.lit(0).alias("s")).union(ends)
+    both = base.select("b", "o", "k", "t", F.lit(0).alias("s")).union(ends).repartition(tasks, "b")
     w = Window.partitionBy("b").orderBy("s", "o", "t")
     tail = f"cast(floor(length(t) / {share}) as int)"
     rows = both.select("b", "s", "k", "t", F.row_number().over(w).alias("r"), F.lead("t").over(w).alias("nt"))
     edited = F.expr(f"concat(substring(t, 1, length(t) - {tail}), substring(coalesce(nt, ''), 1, {tail}))")
     rows = rows.select("b", "s", "k", "r", "t", F.length("t").cast("long").alias("n_chars"), edited.alias("e"))
-    rows = rows.select("b", "s", "k", "r", "n_chars", F.unhex(F.sha2("e", 256)).alias("sha"), F.posexplode(F.array("t", "e")).alias("edit", "x"))
-    rows = rows.select("b", "s", "k", "r", "n_chars", "sha", "edit", packed_kmers(F.col("x"), words).alias("vs"))
-    flat = rows.select("b", "s", "k", "r", "n_chars", "sha", "edit", F.explode_outer("vs").alias("v"))
-    mins, made = sketch_columns(sketches)
-    one = ["b", "s", "k", "r", "n_chars", "sha"]
-    each = flat.groupBy(*one, "edit").agg(*mins).select(*one, "edit", made.alias("sketch"))
-    pair = each.groupBy(*one).agg(F.max(F.when(F.col("edit") == 0, F.col("sketch"))).alias("own"), F.max(F.when(F.col("edit") == 1, F.col("sketch"))).alias("new"))
+    made = lambda c: _bound(numbered_kmers(F.col(c), words), lambda k: sketch(k, sketches))
+    pair = rows.select("b", "s", "k", "r", "n_chars", F.sha2("e", 256).alias("sha"), made("t").alias("own"), F.when(F.col("s") == 0, made("e")).alias("new"))
     pair = pair.withColumn("next", F.lead("own").over(Window.partitionBy("b").orderBy("r"))).where("s = 0")
     return pair.select(
-        F.col("k").alias(key), "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"), as_text(F.col("new")).alias("edited_fingerprint"),
+        F.col("k").alias(key), "n_chars", F.col("sha").alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"), as_text(F.col("new")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("new")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"),
     )
