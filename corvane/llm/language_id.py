@@ -34,6 +34,8 @@ SCRIPTS = [
 FIRST_OTHER = chr(SCRIPTS[1][0])
 #: Share of a language's letters from which it counts as using a script.
 SCRIPT_SHARE = 0.01
+#: Words whose scores a worker remembers at most.
+WORDS_KEPT = 300_000
 #: Log-score of a language that is no candidate for a word: no switch costs as much.
 NEVER = -1e6
 #: Penalty for a switch between two words, in nats.
@@ -257,7 +259,7 @@ class Labeller:
         import numpy as np
 
         split = [t.split() if t else [] for t in texts]
-        if len(self.at) > MEMO_ENTRIES:
+        if len(self.at) > WORDS_KEPT:
             self.reset()
         if self.langs:
             self.learn({w for s in split for w in s if w not in self.at})

@@ -241,3 +241,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", bu
     comp = connected_components(similar_links(nodes, budget))
     classes = nodes.join(comp, nodes["rep"] == comp["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return fps.join(classes, "fp", "left").select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, least: float = 0.8) -> DataFrame:
+    """Rows (key, component_id): rows whose five-word shingles have a Jaccard similarity of ``least`` or more are linked.
+
+    The trie walk of a few bits gives the first candidates; what no such budget
+    reaches is found by blocks, and every link is compared exactly
+    (``shingle_join``, which states nulls, ties and repeats).
+    """
+    from corvane.llm import shingle_join
+
+    return shingle_join.near_duplicates(docs, text, key, words, least)
