@@ -9,9 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Distances up to which a band of the table is tried before the next wider one.
+BANDS = (8, 32, 128, 512)
+
+
 def edits(a: Column, b: Column) -> Column:
-    """Levenshtein distance in code points; equal texts skip it."""
-    return F.when(a == b, F.lit(0)).otherwise(F.levenshtein(a, b))
+    """Levenshtein distance in code points; equal texts skip it, near ones cost a band of the table only."""
+    tries = [F.nullif(F.levenshtein(a, b, t), F.lit(-1)) for t in BANDS]
+    return F.when(a == b, F.lit(0)).otherwise(F.coalesce(*tries, F.levenshtein(a, b)))
 
 
 def text_similarity(a: Column, b: Column, digits: int = 6) -> Column:
@@ -31,9 +36,12 @@ def symmetric_distance(a: Column, b: Column) -> Column:
 
 
 def within(a: Column, b: Column, least: float) -> Column:
-    """Whether the similarity is at least ``least``, with the distance cut off where that is settled."""
+    """Whether the similarity is at least ``least``; the widest band tried is that which can still reach it."""
     longer = F.greatest(F.length(a), F.length(b))
-    return F.when(longer == 0, F.lit(True)).when((a == "") | (b == ""), F.lit(least <= 0)).otherwise(text_similarity(a, b) >= least)
+    most = F.floor(longer * (1 - least + 1e-6))  # rounding to six digits may lift a similarity to the bound
+    near = F.coalesce(*[F.when(F.lit(t) <= most, F.nullif(F.levenshtein(a, b, t), F.lit(-1))) for t in BANDS], F.levenshtein(a, b))
+    reach = F.abs(F.length(a) - F.length(b)) <= most
+    return F.when(longer == 0, F.lit(True)).when((a == "") | (b == ""), F.lit(least <= 0)).when(a == b, F.lit(least <= 1)).otherwise(reach & (F.round(1 - near / longer, 6) >= least))
 
 
 Pair = Callable[[Column, Column], Column]
@@ -58,13 +66,15 @@ def pairwise_mean(items: Column, sim: Pair = character_similarity) -> Column:
 def with_similarities(df: DataFrame, items: str, by: str, text: str, key: str = "id", name: str = "sims", sim: Pair = text_similarity) -> DataFrame:
     """Adds a map from pairs of items to their similarity, each computed once.
 
-    ``items`` is a short array of structs with ``by`` (unique in it) and ``text``.
-    Pairs become rows, so the distances run in compiled code and array
-    expressions over the items only look them up (see ``looked_up``).
+    ``items`` is a short array of structs with ``by`` (unique in it) and ``text``;
+    ``sim`` is symmetric. Pairs become rows, so the distances run in compiled
+    code, once for each two texts of a row, and array expressions over the items
+    only look them up (see ``looked_up``).
     """
-    pair = F.flatten(F.transform(items, lambda x, i: F.transform(F.slice(items, i + 2, F.greatest(F.size(items) - i - 1, F.lit(0))), lambda y: F.struct(F.concat_ws("|", F.least(x[by], y[by]), F.greatest(x[by], y[by])).alias("k"), x[text].alias("a"), y[text].alias("b")))))
+    pair = F.flatten(F.transform(items, lambda x, i: F.transform(F.slice(items, i + 2, F.greatest(F.size(items) - i - 1, F.lit(0))), lambda y: F.struct(F.concat_ws("|", F.least(x[by], y[by]), F.greatest(x[by], y[by])).alias("k"), F.least(x[text], y[text]).alias("a"), F.greatest(x[text], y[text]).alias("b")))))
     # dealt by key before the distances are computed, which is where the work is; the aggregate needs no further shuffle
-    rows = df.select(key, F.explode(pair).alias("p")).repartition(key).select(key, "p.k", sim(F.col("p.a"), F.col("p.b")).alias("s"))
+    rows = df.select(key, F.explode(pair).alias("p")).repartition(key).select(key, "p.*").groupBy(key, "a", "b").agg(F.collect_list("k").alias("ks"))
+    rows = rows.select(key, "ks", sim(F.col("a"), F.col("b")).alias("s")).select(key, "s", F.explode("ks").alias("k"))
     maps = rows.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("k", "s"))).alias(name))
     return df.join(maps, key, "left")
 

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corvane.functions.maps import let
+
 CONTROL_TAG = r"<\|.*?\|>"
 LOOSE_TAG = r"\b(?:EMO_[A-Z]+)\b"
 BRACKETS = r"【[^】]*】"
@@ -95,7 +97,8 @@ def tolerance_key(form: Column, homophones: Iterable[tuple[str, str]] = ()) -> C
 
 
 def count_of(c: Column, cls: str) -> Column:
-    return F.regexp_count(c, F.lit(cls))
+    """How many characters of a class stand in a text; runs of others are taken out at once."""
+    return F.length(F.regexp_replace(c, f"[^{cls[1:-1]}]+", ""))
 
 
 def han_chars(c: Column) -> Column:
@@ -104,19 +107,22 @@ def han_chars(c: Column) -> Column:
 
 def detect_language(c: Column) -> Column:
     """zh, en, mixed, empty or unknown, by the shares of CJK and Latin letters."""
-    v = F.trim(clean_control_tags(text_or_empty(c)))
-    cjk, latin = count_of(v, CJK), count_of(v, LATIN)
-    both = cjk + latin
-    return (
-        F.when(F.regexp_replace(v, SPACES, "") == "", "empty")
-        .when(both == 0, "unknown")
-        .when((cjk / both >= 0.2) & (latin / both >= 0.2), "mixed")
-        .when(cjk / both >= 0.8, "zh")
-        .when(latin / both >= 0.8, "en")
-        .when((cjk > 0) & (latin == 0), "zh")
-        .when((latin > 0) & (cjk == 0), "en")
-        .otherwise("unknown")
-    )
+    def named(x):
+        cjk, latin = x["cjk"], x["latin"]
+        both = cjk + latin
+        return (
+            F.when(x["blank"], "empty")
+            .when(both == 0, "unknown")
+            .when((cjk / both >= 0.2) & (latin / both >= 0.2), "mixed")
+            .when(cjk / both >= 0.8, "zh")
+            .when(latin / both >= 0.8, "en")
+            .when((cjk > 0) & (latin == 0), "zh")
+            .when((latin > 0) & (cjk == 0), "en")
+            .otherwise("unknown")
+        )
+
+    cleaned = F.trim(clean_control_tags(text_or_empty(c)))
+    return let(cleaned, lambda v: let(F.struct(count_of(v, CJK).alias("cjk"), count_of(v, LATIN).alias("latin"), (F.regexp_replace(v, SPACES, "") == "").alias("blank")), named))
 
 
 def lexical_content(c: Column, unicode: bool = True) -> Column:

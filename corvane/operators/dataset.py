@@ -94,19 +94,39 @@ def coverage(df: DataFrame, auto: Column, human: Column) -> DataFrame:
     return df.groupBy(F.when(F.coalesce(auto, F.lit(False)), "A").when(F.coalesce(human, F.lit(False)), "H").otherwise("U").alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def snapshot_digest(df: DataFrame, key: str, columns: Iterable[str], fan: int = 256) -> DataFrame:
-    """One row (rows, digest): digest of all rows in key order.
+def snapshot_digest(df: DataFrame, key: str, columns: Iterable[str], fan: int = 4096) -> DataFrame:
+    """One row (rows, digest): digest of all rows in key order within ``fan`` buckets of the key's digest.
 
-    Row digests are first hashed within key-hash buckets, then the ``fan``
-    bucket digests once more, so no list of all rows is ever built.
+    A row's line is its key and columns as text, each with its length before it
+    (null: ``~``). A bucket's digest is that of its rows' digests, ordered by key
+    and digest, all digits; the snapshot's is that of the buckets' in order.
+    Buckets are streamed over sorted partitions, so no list of rows is built.
     """
-    row = F.sha2(F.to_json(F.struct(key, *columns), {"ignoreNullFields": "false"}), 256)
-    d = df.select(row.alias("h"), F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(fan)).alias("b"))
-    # a sum of digests as numbers is independent of order and needs constant memory
-    part = lambda i: F.sum(F.conv(F.substring("h", 1 + 12 * i, 12), 16, 10).cast("decimal(38,0)"))
-    buckets = d.groupBy("b").agg(F.count("*").alias("n"), *[part(i).alias(f"p{i}") for i in range(5)])
-    line = F.concat_ws(":", *[F.col(f"p{i}").cast("string") for i in range(5)], F.col("n").cast("string"))
-    return buckets.agg(F.sum("n").alias("rows"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", line.alias("l")))), lambda x: x["l"]), "|"), 256).alias("digest"))
+    import pyarrow as pa
+
+    def named(batches):
+        import hashlib
+
+        at, digest, n = None, None, 0
+        end = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([n], pa.int64()), pa.array([digest.hexdigest()])], ["b", "n", "d"])
+        for batch in batches:
+            for b, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if b != at:
+                    if n:
+                        yield end()
+                    at, digest, n = b, hashlib.sha256(), 0
+                digest.update(h.encode())
+                n += 1
+        if n:
+            yield end()
+
+    field = lambda c: F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("~"))
+    line = F.sha2(F.concat(*[field(c) for c in (key, *columns)]), 256)
+    where = F.pmod(F.conv(F.substring(F.sha2(F.coalesce(F.col(key).cast("string"), F.lit("")), 256), 1, 8), 16, 10).cast("long"), F.lit(fan)).cast("int")
+    rows = df.select(where.alias("b"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"), line.alias("h"))
+    buckets = rows.repartition("b").sortWithinPartitions("b", "k", "h").select("b", "h").mapInArrow(named, "b int, n long, d string")
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "d"))), lambda x: x["d"]), "")
+    return buckets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.sha2(whole, 256).alias("digest"))
 
 
 def requires_dual_review(d: dict[str, Column], roles: Iterable[str] = ("eval_random", "eval_core")) -> Column:

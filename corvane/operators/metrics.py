@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import similarity, stats, text
 from corvane.operators import lexicon
+from corvane.runtime import settle
 
 #: Types whose reference is empty by nature; they are reported apart.
 EMPTY_REFERENCE = ("true_silence", "invalid_audio", "noise", "empty_gold", "non_speech")
@@ -104,12 +105,13 @@ def completeness(df: DataFrame, examples: int = 200) -> DataFrame:
     return df.agg(F.count("*").alias("expected"), F.count_if(~bad).alias("complete"), F.count_if(bad).alias("incomplete")).join(F.broadcast(first), F.lit(True))
 
 
-def bootstrap_delta(df: DataFrame, group: str, base: tuple[str, str], cand: tuple[str, str], iterations: int = 1000, seed: int = 42, exact_groups: int = 100_000) -> DataFrame:
+def bootstrap_delta(df: DataFrame, group: str, base: tuple[str, str], cand: tuple[str, str], iterations: int = 1000, seed: int = 42, exact_groups: int | None = None) -> DataFrame:
     """Rows (iterations, low, high): interval of candidate minus baseline ratio of sums, resampling groups.
 
-    Up to ``exact_groups`` groups the draws are made on the driver with one
-    seeded generator over the groups in order; with more, each group's
-    multiplicity is a hash, and nothing but one row an iteration is gathered.
+    The draws come from one seeded generator over the groups in order, at every
+    size; the sums (32 bytes a group) are read in order by one task. A caller
+    who has too many groups for that names a bound, ``exact_groups``: beyond it
+    the interval is that of ``poisson_delta``.
     """
     spark = df.sparkSession
     names = ["na", "da", "nb", "db"]
@@ -117,16 +119,33 @@ def bootstrap_delta(df: DataFrame, group: str, base: tuple[str, str], cand: tupl
     n = sums.count()
     if n == 0 or iterations <= 0:
         return spark.createDataFrame([(0, None, None)], "iterations int, low double, high double")
-    if n <= exact_groups:
-        rows = [tuple(float(r[c] or 0) for c in names) for r in sums.orderBy("g").collect()]
-        deltas = []
-        for _, times in stats.draws(n, iterations, seed):
-            na, da, nb, db = (sum(m * rows[i][k] for i, m in times.items()) for k in range(4))
-            deltas.append(nb / max(db, 1) - na / max(da, 1))
-    else:
-        deltas = [r["delta"] for r in stats.poisson_bootstrap(sums, "g", *names, iterations=iterations, seed=seed).collect()]
-    low, high = stats.percentile_bounds(deltas)
-    return spark.createDataFrame([(iterations, low, high)], "iterations int, low double, high double")
+    if exact_groups is not None and n > exact_groups:
+        return poisson_delta(df, group, base, cand, iterations, seed)
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        rows = np.concatenate([b.to_numpy(float) for b in batches])
+        for i, times in stats.draws(len(rows), iterations, seed):
+            at, m = np.fromiter(times, np.int64, len(times)), np.fromiter(times.values(), float, len(times))
+            na, da, nb, db = (m[:, None] * rows[at]).sum(axis=0)
+            yield pd.DataFrame({"i": [i], "delta": [nb / max(db, 1) - na / max(da, 1)]})
+
+    ordered = settle(sums.orderBy("g")).coalesce(1).select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names])
+    return _bounds(ordered.mapInPandas(run, "i int, delta double"), iterations)
+
+
+def _bounds(deltas: DataFrame, iterations: int) -> DataFrame:
+    low, high = stats.percentile_bounds([r["delta"] for r in deltas.select("delta").collect()])  # one number an iteration
+    return deltas.sparkSession.createDataFrame([(iterations, low, high)], "iterations int, low double, high double")
+
+
+def poisson_delta(df: DataFrame, group: str, base: tuple[str, str], cand: tuple[str, str], iterations: int = 1000, seed: int = 42) -> DataFrame:
+    """As ``bootstrap_delta`` with another estimator: each group's multiplicity is Poisson(1), from a hash, for any number of groups."""
+    names = ["na", "da", "nb", "db"]
+    sums = df.groupBy(F.col(group).alias("g")).agg(*[F.sum(c).alias(n) for c, n in zip((*base, *cand), names)])
+    return _bounds(stats.poisson_bootstrap(sums, "g", *names, iterations=iterations, seed=seed), iterations)
 
 
 def release_gate(metrics: DataFrame, thresholds: dict[str, tuple[str, float | None]], least: int = 30) -> DataFrame:

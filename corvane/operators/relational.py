@@ -7,6 +7,7 @@ aggregate that the driver reads before the join is used.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from corvane.functions import hashing, similarity, text
 from corvane.functions.maps import upsert
 from corvane.plans.expr import ExpressionError, predicate
+from corvane.runtime import scratch
 
 
 class AlignmentError(ValueError):
@@ -213,37 +215,58 @@ def with_shard(df: DataFrame, n: int) -> DataFrame:
     return df.withColumn("shard", hashing.shard_of(hashing.sample_digest(F.col("sha256"), F.col("source_path")), n))
 
 
-#: Rows up to which the exact greedy rule runs in one task.
-GREEDY_ROWS = 2_000_000
+#: Rows that one step of the greedy rule deals.
+STEP_ROWS = 4_000_000
 
 
-def balanced_shards(df: DataFrame, n: int, weight: str = "duration", key: str = "id") -> DataFrame:
+def balanced_shards(df: DataFrame, n: int, weight: str = "duration", key: str = "id", step_rows: int = STEP_ROWS) -> DataFrame:
     """Rows (key, shard): longest first onto the lightest shard, ties to the lowest number; a missing weight is 1.
 
-    The rule is sequential, so it runs in one task while the table is counted to
-    fit one. Beyond that rows are dealt to and fro over the shards in order of
-    weight class (a quarter of an octave), within a class by digest.
+    The rule is sequential at every size. Rows are sorted by ranges into parts of
+    about ``step_rows``; one part after another is streamed through a task that
+    holds the shards' loads only, and hands them on to the next.
     """
-    def greedy(pdf):
-        import heapq
-
-        ordered = pdf.sort_values(["w", "d"], ascending=[False, True])
-        heap, shard = [(0.0, i) for i in range(n)], []
-        for w in ordered["w"]:
-            load, i = heapq.heappop(heap)
-            shard.append(i)
-            heapq.heappush(heap, (load + w, i))
-        return ordered[["k"]].assign(shard=shard)
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_type
 
+    spark = df.sparkSession
     rows = df.select(F.col(key).alias("k"), F.coalesce(F.col(weight).cast("double"), F.lit(1.0)).alias("w"), hashing.sample_digest(F.col("sha256"), F.col("source_path")).alias("d"))
-    if rows.limit(GREEDY_ROWS + 1).count() <= GREEDY_ROWS:
-        kind = df.schema[key].dataType.simpleString()
-        return rows.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(greedy, f"k {kind}, shard int").withColumnRenamed("k", key)
-    # salted ranks: each (class, salt) is ranked alone, and the salt shifts where its dealing starts
-    part = rows.withColumn("c", F.floor(4 * F.log2(F.greatest("w", F.lit(1e-9))))).withColumn("s", hashing.shard_of(F.sha2("d", 256), 512))
-    rank = F.row_number().over(Window.partitionBy("c", "s").orderBy(F.desc("w"), "d")) - 1 + F.col("s")
-    turn = F.pmod(rank, F.lit(2 * n))
-    return part.select(F.col("k").alias(key), F.when(turn < n, turn).otherwise(2 * n - 1 - turn).cast("int").alias("shard"))
+    order = [F.desc("w"), F.col("d"), F.col("k")]
+    parts = max(1, -(-rows.count() // step_rows))
+    path = scratch(spark, "shards")
+    rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()).write.partitionBy("part").parquet(f"{path}/sorted")
+    kind = df.schema[key].dataType
+
+    def dealt(loads):
+        def run(batches):
+            import heapq
+
+            heap = [(x, i) for i, x in enumerate(loads)]
+            heapq.heapify(heap)
+            for b in batches:
+                shard = []
+                for w in b.column(1).to_pylist():
+                    load, i = heap[0]
+                    heapq.heapreplace(heap, (load + w, i))
+                    shard.append(i)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shard, pa.int32()), pa.nulls(len(shard), pa.float64())], ["k", "shard", "load"])
+            ends = sorted((i, x) for x, i in heap)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa_kind), pa.array([i for i, _ in ends], pa.int32()), pa.array([x for _, x in ends], pa.float64())], ["k", "shard", "load"])
+
+        return run
+
+    pa_kind = to_arrow_type(kind)
+    made = T.StructType([T.StructField("k", kind), T.StructField("shard", T.IntegerType()), T.StructField("load", T.DoubleType())])
+    sorted_kind = T.StructType([*rows.schema, T.StructField("part", T.IntegerType())])
+    loads, out = [0.0] * n, []
+    for p in range(parts):
+        part = spark.read.schema(sorted_kind).parquet(f"{path}/sorted").where(F.col("part") == p)
+        step = f"{path}/step-{p}"
+        part.select("k", "w", "d").coalesce(1).sortWithinPartitions(*order).mapInArrow(dealt(loads), made).write.parquet(step)
+        out.append(spark.read.parquet(step))
+        loads = [r["load"] for r in out[-1].where("load is not null").orderBy("shard").select("load").collect()]
+    return reduce(DataFrame.union, out).where("load is null").select(F.col("k").alias(key), "shard")
 
 
 def compare(df: DataFrame, a: str, b: str) -> DataFrame:

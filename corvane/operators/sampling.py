@@ -83,8 +83,20 @@ def spot_audit(df: DataFrame, category: str = "category", stratum: str = "stratu
     lead = df.groupBy(category, stratum).agg(F.min(F.struct(hashing.digest(seed, c, k).alias("h"), F.col(key).alias("id")))["id"].alias("_first"))
     rows = df.join(n, category).join(lead, [category, stratum])
     rows = rows.withColumn("spot_quota", stats.spot_quota(F.col("_n"), share, least)).withColumn("_is", F.col(key) == F.col("_first"))
-    order = Window.partitionBy(category).orderBy(F.desc("_is"), F.when(F.col("_is"), F.col(stratum)), hashing.digest(seed, c, F.lit("fill"), k), key)
-    return rows.withColumn("spot_selected", F.row_number().over(order) <= F.col("spot_quota")).drop("_n", "_first", "_is")
+    order = [F.desc("_is"), F.when(F.col("_is"), F.col(stratum)), hashing.digest(seed, c, F.lit("fill"), k), F.col(key)]
+    return _first_of(rows, [category], order, F.col("spot_quota"), key, "spot_selected").drop("_n", "_first", "_is")
+
+
+def _first_of(rows: DataFrame, by: list[str], order: list[Column], quota: Column, key: str, name: str, salts: int = 64) -> DataFrame:
+    """Adds ``name``: whether a row is among the first ``quota`` of its group.
+
+    Each group is ranked in salted parts first; only rows within the quota of
+    their own part are ranked again, so no task orders a whole group.
+    """
+    part = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(salts))
+    near = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*by, part).orderBy(*order))).withColumn("_q", quota)
+    best = near.where(F.col("_r") <= F.col("_q")).withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_r") <= F.col("_q"))
+    return rows.join(best.select(F.col(key).alias("_key"), F.lit(True).alias(name)), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def review_order(df: DataFrame, score: Column, seed: str = "review_batch_v3", key: str = "id") -> list[Column]:
@@ -103,10 +115,10 @@ def review_batch(df: DataFrame, score: Column, limit: int, seed: str = "review_b
 
 def spot_check(df: DataFrame, layer: str, rate: float, seed: str = "review_batch_v3", key: str = "id", blocked: str = "blocked") -> DataFrame:
     """ceil(rate n) of each layer by hash; all of a layer that has a blocked row."""
-    w = Window.partitionBy(layer)
-    rank = F.row_number().over(w.orderBy(F.sha2(F.concat(F.lit(seed), F.col(layer), F.lit("\0"), F.col(key).cast("string")), 256), key))
-    d = df.withColumns({"_r": rank, "_n": F.count("*").over(w), "_b": F.max(F.coalesce(F.col(blocked), F.lit(False))).over(w)})
-    return d.where(F.col("_b") | (F.col("_r") <= F.ceil(F.col("_n") * rate))).drop("_r", "_n", "_b")
+    sizes = df.groupBy(layer).agg(F.count("*").alias("_n"), F.max(F.coalesce(F.col(blocked), F.lit(False))).alias("_b"))
+    order = [F.sha2(F.concat(F.lit(seed), F.col(layer), F.lit("\0"), F.col(key).cast("string")), 256), F.col(key)]
+    d = _first_of(df.join(sizes, layer), [layer], order, F.ceil(F.col("_n") * rate), key, "_in")
+    return d.where(F.col("_b") | F.col("_in")).drop("_n", "_b", "_in")
 
 
 def pick_quota(candidates: DataFrame, n: int, seed: int, salt: str, max_per_call: int = 3, used: DataFrame | None = None, key: str = "id") -> DataFrame:
@@ -117,7 +129,7 @@ def pick_quota(candidates: DataFrame, n: int, seed: int, salt: str, max_per_call
     for rows of its own call or duplicate key that stand before it and were
     taken; each such choice falls in that order. Duplicates across calls make
     the choice sequential: it is settled by rounds, each of which fixes at
-    least the first open row of every call and key.
+    least the first open row of every call and key, until no row is open.
     """
     rank = hashing.rank_key(seed, salt, F.col(key).cast("string"))
     rows = candidates.select(F.col(key).alias("id"), "call", "dup", *[c.alias(f"r{i}") for i, c in enumerate(rank)])
@@ -129,11 +141,11 @@ def pick_quota(candidates: DataFrame, n: int, seed: int, salt: str, max_per_call
     rows = settle(rows.join(before, "call", "left").withColumn("had", F.coalesce("had", F.lit(0))))
     order = [F.col("r0"), F.col("r1")]
     taken = rows.limit(0).select("id", "call", "dup", "r0", "r1")
-    for _ in range(200):
-        if rows.isEmpty():
-            break
-        by_dup = F.when(F.col("dup").isNotNull(), F.row_number().over(Window.partitionBy("dup").orderBy(*order))).otherwise(1)
-        by_call = F.when(F.col("call").isNotNull(), F.row_number().over(Window.partitionBy("call").orderBy(*order)) + F.col("had")).otherwise(0)
+    # rows without a key are alone in their window, wherever they lie
+    own = lambda c: F.coalesce(F.concat(F.lit("k"), F.col(c).cast("string")), F.concat(F.lit("n"), F.col("id").cast("string")))
+    while not rows.isEmpty():
+        by_dup = F.when(F.col("dup").isNotNull(), F.row_number().over(Window.partitionBy(own("dup")).orderBy(*order))).otherwise(1)
+        by_call = F.when(F.col("call").isNotNull(), F.row_number().over(Window.partitionBy(own("call")).orderBy(*order)) + F.col("had")).otherwise(0)
         d = rows.withColumns({"_d": by_dup, "_c": by_call})
         # first of its key, and within its call's room even if all before it are taken: sure to be taken
         sure = settle(d.where((F.col("_d") == 1) & (F.col("_c") <= max_per_call)).select("id", "call", "dup", "r0", "r1"))

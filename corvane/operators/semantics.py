@@ -30,7 +30,7 @@ REFUSAL_START = ["没有了谢谢", "没有谢谢", "没有没有", "暂时没
 ACCEPT = ["我同意", "同意办理", "可以办理", "帮我办理"]
 AFFIRM, FILL = ["办理", "同意", "需要", "可以", "好的", "好"], ["嗯", "啊", "哦", "呃", "唔"]
 # Abbreviations that are not foreign speech.
-ABBREVIATIONS = ["AI", "APP", "ATM", "CPU", "GPS", "ID", "LCD", "LED", "NFC", "PDF", "POS"]
+ABBREVIATIONS = ["AI", "APP", "ATM", "CPU", "GPS", "ID", "LCD", "LED", "NFC", "PDF", "POS", "QR", "SIM", "SMS", "TV", "URL", "USB", "VIP", "WIFI"]
 
 
 def _any(c: Column, phrases: list[str]) -> Column:
