@@ -22,6 +22,29 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+_held: dict[str, tuple] = {}
+
+
+def hold(kind: str, mark, make):
+    """What ``make`` loads, kept by a worker until another kind or mark is asked for: workers serve all operators in turn."""
+    if _held.get(kind, (None,))[0] != mark:
+        release()
+        _held[kind] = (mark, make())
+    return _held[kind][1]
+
+
+def release() -> None:
+    """Drop what a worker holds for another operator."""
+    _held.clear()
+
+
+def forget_latest(*memos: dict, kept: int) -> None:
+    """Keep the entries that came first: words that are frequent come early, those that came late may never come again."""
+    for memo in memos:
+        for w in list(memo)[kept:]:
+            del memo[w]
+
+
 def need(df: DataFrame, *names: str) -> DataFrame:
     """Only the columns that an operator reads; others cannot clash."""
     return df.select(*names)

@@ -6,8 +6,9 @@ into sequences of one length. A file is an Arrow IPC file of record batches
 with two fixed-size-list columns: ``ids`` (unsigned 16- or 32-bit) and ``mask``
 (bits: set for an id, not for the filling of a file's last sequence). Batches lie in the
 file uncompressed, so a reader maps it and reaches sequence i by arithmetic
-without copying. A second file beside it, one row per document, has where each
-starts. The offsets of files come from one number for each file.
+without copying. The second half of the format is an index file beside it (the
+same name, ``.index``): an Arrow file of one row per document, (key, start in the
+file, ids with the end id), from which starts and counts are read. The offsets of files come from one number for each file.
 """
 
 from __future__ import annotations
@@ -19,14 +20,13 @@ from array import array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm._common import MEMO_CHARS, opened, publish, small_batches, tokenizer_path
+from corvane.llm._common import MEMO_CHARS, forget_latest, hold, opened, publish, small_batches, tokenizer_path
 from corvane.runtime import scratch, settle
 
 #: Ids in a sequence, and sequences in a record batch.
 LENGTH, BATCH = 2048, 64
 #: Words that a worker remembers at most.
 WORDS_KEPT = 700_000
-_loaded: dict[str, "Encoder"] = {}
 
 
 #: The vocabulary's word pattern (fixed value, from its published definition).
@@ -102,7 +102,7 @@ class Encoder:
         known = self.pieces
         missing = list({p for ps in cut.values() for p in ps if p not in known})
         if len(known) + len(missing) > WORDS_KEPT:
-            known.clear()
+            forget_latest(known, kept=WORDS_KEPT // 2)
             missing = list({p for ps in cut.values() for p in ps})
         known.update(self._library(missing))
         memo.update((w, known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])) for w, ps in cut.items())
@@ -118,7 +118,7 @@ class Encoder:
         for memo, rows, lead in ((self.first, heads, ""), (self.later, tails, " ")):
             new = set().union(*rows).difference(memo)
             if len(memo) + len(new) > WORDS_KEPT:
-                memo.clear()
+                forget_latest(memo, kept=WORDS_KEPT // 2)
                 new = set().union(*rows)
             self._learn(memo, new, lead, special)
             out.append([b"".join(map(memo.__getitem__, s)) for s in rows])
@@ -129,12 +129,10 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _loaded:
-        import os
+    import os
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return hold("byte bpe", path, lambda: Encoder(path))
 
 
 class SequenceWriter:

@@ -24,13 +24,12 @@ from array import array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm._common import MEMO_CHARS, small_batches, tokenizer_path
+from corvane.llm._common import MEMO_CHARS, forget_latest, hold, small_batches, tokenizer_path
 
 #: Words that a worker remembers at most.
-WORDS_KEPT = 700_000
+WORDS_KEPT = 500_000
 #: The word pattern that the quicker engine can stand in for.
 PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_loaded: dict[str, "WordBpe"] = {}
 
 
 def byte_symbols() -> list[str]:
@@ -205,15 +204,8 @@ class WordBpe:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
         self.bytes = byte_symbols()
         self.names = {i: t.encode() for t, i in [*self.bpe.vocab.items(), *self.special.items()]}
-        self.ids: dict[str, bytes] = {}
-        self.decoded: dict[str, bytes] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.ids.clear()
-        self.decoded.clear()
-        self.ids.update((s, array("I", [i]).tobytes()) for s, i in self.special.items())
-        self.decoded.update((s, s.encode()) for s in self.special)
+        self.ids = {s: array("I", [i]).tobytes() for s, i in self.special.items()}
+        self.decoded = {s: s.encode() for s in self.special}
 
     def _library(self, part: str) -> list[str]:
         low = self.normal(part)
@@ -260,7 +252,7 @@ class WordBpe:
         known = self.ids
         new = {w for s in split for w in s if w not in known}
         if len(known) + len(new) > WORDS_KEPT:
-            self.forget()
+            forget_latest(known, self.decoded, kept=WORDS_KEPT // 2)
             new = {w for s in split for w in s if w not in known}
         self.learn(new)
         out = [(b"".join(map(known.__getitem__, s)), b" ".join(map(self.decoded.__getitem__, s))) for s in split]
@@ -271,9 +263,7 @@ class WordBpe:
 
 
 def codec(path: str, reached: frozenset[int] | None = None) -> WordBpe:
-    if path not in _loaded:
-        _loaded[path] = WordBpe(path, reached)
-    return _loaded[path]
+    return hold("word bpe", path, lambda: WordBpe(path, reached))
 
 
 def encode_decode(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str | None = None, digests: bool = False) -> DataFrame:

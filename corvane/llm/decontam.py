@@ -23,7 +23,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm._common import small_batches
+from corvane.llm._common import release, small_batches
 from corvane.runtime import Stored, settle
 
 #: Words in a seed at most.
@@ -37,6 +37,18 @@ TABLE_BITS = 27
 #: Bits of a cell for the matched words and for the start.
 SHIFT = 21
 words_of = re.compile(r"\w+").findall
+#: ASCII bytes that are no part of a word become spaces.
+_BLANK = bytes(c if c > 127 or chr(c).isalnum() or c == 95 else 32 for c in range(256))
+
+
+def line_of(text: str) -> str:
+    """The words of a text in lower case, with one space before, between and after them."""
+    low = text.lower()
+    if not low.isascii():
+        for c in set(low):
+            if c > "\x7f" and not c.isalnum():
+                low = low.replace(c, " ")
+    return b" ".join([b"", *low.encode("utf-8", "surrogatepass").translate(_BLANK).split(), b""]).decode("utf-8", "surrogatepass")
 
 
 def seed_size(m: int, least: float = LEAST, n: int = SEED_WORDS) -> tuple[int, int]:
@@ -199,13 +211,14 @@ def _by_workers(rows: DataFrame, listed: DataFrame, grams: DataFrame, least: flo
     names = spark.sparkContext.broadcast(sorted(r[0] for r in grams.select("seed").distinct().collect()))
 
     def count(batches):
+        release()
         sums: Counter = Counter()
         if names.value:
             finder = _finder(names.value)
             for b in batches:
                 for t in b.column(0).to_pylist():
                     if t:
-                        sums.update(s for _, s in finder.iter(f" {' '.join(words_of(t.lower()))} "))
+                        sums.update([s for _, s in finder.iter(line_of(t))])
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array(list(sums.values()), pa.int64())], ["seed", "c"])
 
@@ -217,6 +230,7 @@ def _by_workers(rows: DataFrame, listed: DataFrame, grams: DataFrame, least: flo
     item_kind = to_arrow_type(listed.schema["k"].dataType)
 
     def run(batches):
+        release()
         listed, items = small.value
         places: dict[str, list] = {}
         for i, s, at in listed:
@@ -229,9 +243,9 @@ def _by_workers(rows: DataFrame, listed: DataFrame, grams: DataFrame, least: flo
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not t:
                     continue
-                words = words_of(t.lower())
-                line = f" {' '.join(words)} "
-                hits = sorted((e - len(s) - 1, s) for e, s in finder.iter(line))
+                line = line_of(t)
+                hits = sorted([(e - len(s) - 1, s) for e, s in finder.iter(line)])
+                words = line.split(" ")[1:-1] if hits else []
                 first, done, at = {}, 0, 0
                 for c, s in hits:  # positions of words are counted only up to seeds
                     at += line.count(" ", done, c)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm._common import MEMO_CHARS, MEMO_ENTRIES, small_batches
+from corvane.llm._common import MEMO_CHARS, MEMO_ENTRIES, hold, small_batches
 
 #: First code points of script ranges (fixed values, from the Unicode blocks).
 SCRIPTS = [
@@ -278,9 +278,6 @@ class Labeller:
         return out
 
 
-_loaded: dict[int, Labeller] = {}
-
-
 def predict(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id", switch: float = SWITCH, spans: bool = True) -> DataFrame:
     """Rows (key, lang_pred, score, n_spans, spans), one for each input row; without ``spans`` that column is left out.
 
@@ -298,10 +295,7 @@ def predict(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id"
 
     def run(batches):
         gc.disable()  # the word tables are large and hold no cycles
-        if mark not in _loaded:
-            _loaded.clear()
-            _loaded[mark] = Labeller(shared.value, switch)
-        label = _loaded[mark].label
+        label = hold("labeller", mark, lambda: Labeller(shared.value, switch)).label
         span = pa.list_(pa.struct([("start", pa.int32()), ("lang", pa.string())]))
         for b in batches:
             got = label(b.column(1).to_pylist())

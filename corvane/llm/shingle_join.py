@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.llm import simhash
-from corvane.llm._common import small_batches
+from corvane.llm._common import release, small_batches
 from corvane.operators.components import connected_components
 from corvane.runtime import Stored, settle
 
@@ -136,6 +136,7 @@ def _sets(rows: DataFrame, words: int, least: float) -> DataFrame:
         import numpy as np
         import xxhash
 
+        release()
         known = np.array([h for h, _ in shared.value] or [0], np.int64)
         count = np.array([c for _, c in shared.value] or [0], np.int64)
         for b in batches:

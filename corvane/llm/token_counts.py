@@ -22,11 +22,10 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm._common import MEMO_CHARS, MEMO_ENTRIES, small_batches, tokenizer_path
+from corvane.llm._common import MEMO_CHARS, MEMO_ENTRIES, hold, small_batches, tokenizer_path
 
 #: The model's word-boundary mark.
 MARK = "▁"
-_loaded: dict[str, "PreTokenCounts"] = {}
 
 
 #: Field numbers of the model file (fixed values, from the published message format).
@@ -109,9 +108,7 @@ class PreTokenCounts(dict):
 
 
 def counter(model_path: str) -> PreTokenCounts:
-    if model_path not in _loaded:
-        _loaded[model_path] = PreTokenCounts(model_path)
-    return _loaded[model_path]
+    return hold("pre-tokens", model_path, lambda: PreTokenCounts(model_path))
 
 
 def count_tokens(docs: DataFrame, text: str = "text", key: str = "doc_id", model_path: str | None = None, limit: int = 4096) -> DataFrame:
