@@ -750,3 +750,6 @@ def stream_counts(spark, sf):
     got = spark.read.parquet(f"{root}/out")
     last = got.groupBy("start", "event_type").agg(F.max_by(F.struct("n", "total"), "batch").alias("v"))
     return last.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", F.col("v")["n"].alias("n"), F.round(F.col("v")["total"], 4).alias("total"))
+
+
+from corvane.plans import catalog_build  # noqa: E402,F401  (registers its queries here)
