@@ -34,8 +34,18 @@ def hold(kind: str, mark, make):
 
 
 def release() -> None:
-    """Drop what a worker holds for another operator."""
-    _held.clear()
+    """Drop what a worker holds for another operator, and give the memory back."""
+    import ctypes
+    import gc
+
+    gc.enable()
+    if _held:
+        _held.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # only some C libraries have it
+            pass
 
 
 def forget_latest(*memos: dict, kept: int) -> None:

@@ -243,7 +243,6 @@ def write_sequences(docs: DataFrame, path: str | None = None, text: str = "text"
         import numpy as np
         from pyspark import TaskContext
 
-        gc.disable()  # the word tables are large and hold no cycles; passes over them would take a fifth of the time
         part = TaskContext.get().partitionId()
         name, mark = f"{root}/part-{part:06d}", uuid.uuid4().hex
         enc, writer, keys, counts, sink = None, None, [], [], None
@@ -252,6 +251,7 @@ def write_sequences(docs: DataFrame, path: str | None = None, text: str = "text"
                 continue
             if writer is None:
                 enc = encoder(vocab)
+                gc.disable()  # the word tables are large and hold no cycles; passes over them would take a fifth of the time
                 sink = opened(f"{name}.arrow.{mark}", "wb")
                 writer = SequenceWriter(sink, enc.kind, length)
             for k, raw in zip(b.column(0).to_pylist(), enc.encode([t or "" for t in b.column(1).to_pylist()])):
@@ -259,6 +259,7 @@ def write_sequences(docs: DataFrame, path: str | None = None, text: str = "text"
                 writer.add(ids)
                 keys.append(k)
                 counts.append(len(ids))
+        gc.enable()
         if writer is None:
             return
         writer.close()

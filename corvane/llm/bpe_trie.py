@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from corvane.llm._common import MEMO_CHARS, forget_latest, hold, small_batches, tokenizer_path
 
 #: Words that a worker remembers at most.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 350_000
+#: Junctions of two tokens that a worker remembers at most.
+JOINS_KEPT = 250_000
 #: The word pattern that the quicker engine can stand in for.
 PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -110,7 +112,7 @@ class TrieBpe:
         got = self._join.get(key)
         if got is not None:
             return got
-        if len(self._join) > 1_000_000:
+        if len(self._join) > JOINS_KEPT:
             self._join.clear()
         a = self._right.get(p) or self._right.setdefault(p, self._edge(p, True))
         b = self._left.get(t) or self._left.setdefault(t, self._edge(t, False))

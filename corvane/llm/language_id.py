@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm._common import MEMO_CHARS, MEMO_ENTRIES, hold, small_batches
+from corvane.llm._common import MEMO_CHARS, MEMO_ENTRIES, forget_latest, hold, small_batches
 
 #: First code points of script ranges (fixed values, from the Unicode blocks).
 SCRIPTS = [
@@ -171,6 +171,12 @@ class Labeller:
         self.size = np.zeros(1024, np.int64)
         self.used = 1
 
+    def forget(self) -> None:
+        """Keep the words that came first: those that are frequent come early."""
+        forget_latest(self.by_letters, kept=WORDS_KEPT // 2)
+        self.used = max(self.by_letters.values()) + 1
+        self.at = {c: i for c, i in self.at.items() if i < self.used}
+
     def candidates(self, scripts: frozenset[str]):
         """Which languages a word in these scripts may be in."""
         import numpy as np
@@ -260,7 +266,7 @@ class Labeller:
 
         split = [t.split() if t else [] for t in texts]
         if len(self.at) > WORDS_KEPT:
-            self.reset()
+            self.forget()
         if self.langs:
             self.learn({w for s in split for w in s if w not in self.at})
         out = []
@@ -294,8 +300,8 @@ def predict(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id"
     mark = hash((model, switch))
 
     def run(batches):
-        gc.disable()  # the word tables are large and hold no cycles
         label = hold("labeller", mark, lambda: Labeller(shared.value, switch)).label
+        gc.disable()  # the word tables are large and hold no cycles
         span = pa.list_(pa.struct([("start", pa.int32()), ("lang", pa.string())]))
         for b in batches:
             got = label(b.column(1).to_pylist())
@@ -303,6 +309,7 @@ def predict(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id"
             if spans:
                 out.append(pa.array([[{"start": a, "lang": l} for a, l in g[2]] for g in got], span))
             yield pa.RecordBatch.from_arrays(out, names)
+        gc.enable()
 
     own = T.StructField("k", docs.schema[key].dataType)
     made = T.StructType([own, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("n_spans", T.IntegerType())])
