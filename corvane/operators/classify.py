@@ -399,7 +399,9 @@ def classify_five(gathered: DataFrame, families: Families, voicemail: str | None
     critical_short = (text.han_chars(only) <= 4) & consensus.polarity_of(only).isin("positive", "negative", "mixed")
     noise, speech, e = c("dns")["noise"], c("dns")["speech"], c("energy")
     no_gold = ~((c("nt") >= 2) & F.coalesce(c("any_agree"), F.lit(False))) & (e != "failed")
-    risk = F.array_contains("pol", "positive") & F.array_contains("pol", "negative")
+    from corvane.operators import five_class  # which builds on this module
+
+    risk = five_class.risk_without_sound(c("states")).isNotNull()
     gold = (c("nt") >= 2) & c("all_agree") & (c("un") == 0)
     made = chain(d, [
         Rule(c("broken") | (c("duration") <= 0), "invalid_audio", "high", "broken_or_invalid_audio"),
@@ -420,7 +422,7 @@ def classify_five(gathered: DataFrame, families: Families, voicemail: str | None
         Rule(c("un") > 0, "hardcase", "low", "family_unstable"),
         Rule((c("se") >= 2) & (c("nt") == 1) & critical_short, "hardcase", "low", "critical_short_response_unsupported"),
         Rule((c("se") >= 2) & (c("nt") == 1), "hardcase", "low", "single_text_family_not_auto_noise"),
-        Rule(F.exists(similarity.pairs(texts, similarity.symmetric_distance), lambda x: x > 0.30), "hardcase", "low", "substantive_divergence_non_strict_risk"),
+        Rule(five_class.divergent(texts), "hardcase", "low", "substantive_divergence_non_strict_risk"),
         Rule((c("na") > 0) | (c("nt") + c("se") < n), "hardcase", "low", "insufficient_family_evidence"),
         Rule(F.lit(True), "hardcase", "low", "unresolved_rules"),
     ], ("category", "confidence", "reason"))

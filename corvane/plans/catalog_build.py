@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corvane.operators import building, dataset, reports
-from corvane.plans.catalog import _DOCS_SQL, _SCORED_SQL, _TURNS_SQL, _scored, _unit_sql, documents, query, turn_routes
+from corvane.operators import building, classify, consensus, dataset, five_class, reports, routes
+from corvane.plans.catalog import _DOCS_SQL, _SCORED_SQL, _TURNS_SQL, FAMILIES, _scored, _unit_sql, documents, query, turn_routes
 from corvane.runtime import table
 
 _EVAL_SQL = _SCORED_SQL + """, e AS (SELECT *, split_part(id, '-', 1)::BIGINT AS c, split_part(id, '-', 2)::BIGINT AS t FROM s),
@@ -297,3 +297,60 @@ def freeze_problems(spark, sf):
 def annotation_package(spark, sf):
     d = turn_routes(spark, sf).withColumns({"sha256": F.sha2("kimi_1", 256), "review_queue": F.lit("main")})
     return building.annotation_package(d, ["glm_1", "qwen_1"], "batch1").select("id", F.array_join(F.transform("candidates", lambda x: x["text"]), "|").alias("texts"))
+
+
+# --- rule sets over Chinese answers -------------------------------------------------
+
+_SAID, _ELSE = "今天下午三点我们在公司会议室见面讨论合同", "明天上午九点他们到机场接人然后回去"
+#: Code of a family's text -> text; 1 is the turn's own text with a sentence behind it, 5 a route that is missing.
+_CODES = {"kimi": "(conv_id + turn * 3) % 6", "glm": "((conv_id // 2) + turn) % 6", "qwen": "((conv_id // 3) + turn * 2) % 6"}
+_CASE = f"CASE {{c}} WHEN 0 THEN '' WHEN 1 THEN t || '{_SAID}' WHEN 2 THEN '需要' WHEN 3 THEN '不需要' WHEN 4 THEN '{_ELSE}' END"
+_ANSWER_SQL = (
+    _TURNS_SQL + ", x AS (SELECT id, conv_id, turn, t FROM turns), y AS (" + " UNION ALL ".join(f"SELECT id, conv_id, turn, {i} AS place, '{f}' AS fam, {_CASE.format(c=c)} AS a, {_CASE.format(c=c if f != 'glm' else f'CASE WHEN (conv_id + turn) % 9 = 0 THEN 1 ELSE {c} END')} AS b FROM x" for i, (f, c) in enumerate(_CODES.items()))
+    + """), s AS (SELECT *, CASE WHEN a IS NULL OR b IS NULL THEN 'unavailable' WHEN a = '' AND b = '' THEN 'stable_empty' WHEN a = b THEN 'stable_text' ELSE 'unstable' END AS st,
+  CASE WHEN conv_id % 13 = 0 OR (conv_id % 13 = 1 AND fam = 'kimi') THEN 'unavailable' WHEN coalesce(a, '') <> '' AND a = b THEN 'stable_text' WHEN coalesce(a, '') <> '' OR coalesce(b, '') <> '' THEN 'unstable' WHEN a = '' AND b = '' THEN 'stable_empty' ELSE 'unavailable' END AS st1,
+  CASE WHEN conv_id % 13 = 0 OR (conv_id % 13 = 1 AND fam = 'kimi') THEN NULL ELSE coalesce(nullif(a, ''), nullif(b, '')) END AS said, conv_id % 13 <> 0 AND NOT (conv_id % 13 = 1 AND fam = 'kimi') AND (a IS NOT NULL OR b IS NOT NULL) AS able FROM y),
+n AS (SELECT id, conv_id, turn, CASE turn % 5 WHEN 2 THEN 'inaudible' WHEN 3 THEN 'borderline' WHEN 4 THEN CASE WHEN conv_id % 2 = 0 THEN 'audio_too_short' ELSE 'failed' END ELSE 'audible' END AS e, conv_id % 4 = 2 AS env,
+  count(*) FILTER (st = 'stable_text') AS nt, count(*) FILTER (st = 'stable_empty') AS se, count(*) FILTER (st = 'unstable') AS un, count(*) FILTER (st = 'unavailable') AS na, count(DISTINCT a) FILTER (st = 'stable_text') AS kinds,
+  count(*) FILTER (st = 'stable_text' AND a = '需要') AS pos, count(*) FILTER (st = 'stable_text' AND a = '不需要') AS neg, count(*) FILTER (st1 = 'stable_text') AS nt1, count(*) FILTER (st1 = 'stable_empty') AS se1, count(*) FILTER (st1 = 'unstable') AS un1,
+  count(DISTINCT a) FILTER (st1 = 'stable_text') AS kinds1, count(*) FILTER (st1 = 'stable_text' AND a = '需要') AS pos1, count(*) FILTER (st1 = 'stable_text' AND a = '不需要') AS neg1, count(DISTINCT said) AS said1, count(*) FILTER (able) AS able FROM s GROUP BY id, conv_id, turn)"""
+)
+
+
+def _answers(spark, sf):
+    d = turn_routes(spark, sf)
+    said = lambda c: f"CASE {c} WHEN 0 THEN '' WHEN 1 THEN concat(kimi_1, '{_SAID}') WHEN 2 THEN '需要' WHEN 3 THEN '不需要' WHEN 4 THEN '{_ELSE}' END".replace("//", "DIV")
+    entry = lambda e: F.struct(F.expr(e).alias("text"), *[F.lit(None).cast(k).alias(n) for n, k in (("model", "string"), ("version", "string"), ("confidence", "double"), ("status", "string"), ("extra", "map<string,string>"))])
+    cells = []
+    for f, c in _CODES.items():
+        second = c if f != "glm" else f"CASE WHEN (conv_id + turn) % 9 = 0 THEN 1 ELSE {c} END"
+        cells += [F.lit(f"{f}_1"), entry(said(c)), F.lit(f"{f}_2"), entry(said(second))]
+    d = d.select("id", "conv_id", "turn", F.lit(10.0).alias("duration"), F.create_map(*cells).alias("transcripts"))
+    g = consensus.gather(routes.explode_routes(d, FAMILIES)).join(d.select("id", "conv_id", "turn"), "id")
+    t, c = F.col("turn") % 5, F.col("conv_id")
+    energy = F.when(t == 2, "inaudible").when(t == 3, "borderline").when(t == 4, F.when(c % 2 == 0, "audio_too_short").otherwise("failed")).otherwise("audible")
+    runs = F.transform("routes", lambda r: r["run_id"])
+    none = {n: F.lit(None).cast(k) for n, k in (("no_target_speech", "boolean"), ("target_speech_present", "boolean"), ("short_response_missed", "boolean"), ("unclear_polarity", "boolean"), ("human_no_target", "boolean"), ("dnsmos_bak", "double"), ("dnsmos_ovrl", "double"), ("dnsmos_sig", "double"), ("dnsmos_status", "string"), ("crosstalk_confirmed", "boolean"))}
+    return g.withColumns({"broken": F.lit(False), "energy": energy, "acoustic_state": F.when(c % 4 == 2, "environment_confirmed"), "excluded_runs": F.when(c % 13 == 0, runs).when(c % 13 == 1, F.filter(runs, lambda r: F.startswith(r, F.lit("kimi")))), **none})
+
+
+_TAIL_SQL = """WHEN e = 'borderline' THEN 'energy_borderline' WHEN e = 'failed' THEN 'energy_failed' WHEN un > 0 THEN 'family_unstable' {short} WHEN se >= 2 AND nt = 1 THEN 'single_text_family_not_auto_noise'
+  WHEN kinds >= 2 THEN 'substantive_divergence_non_strict_risk' WHEN na > 0 OR nt + se < 3 THEN 'insufficient_family_evidence' ELSE 'unresolved_rules' END"""
+
+
+@query("classify_five_v1", f"""WITH {_ANSWER_SQL} SELECT id, CASE WHEN conv_id % 13 = 0 THEN 'all_routes_excluded' WHEN able = 0 THEN 'partial_exclude_rest_failed' WHEN se1 > 0 AND pos1 + neg1 > 0 AND env THEN 'hallucinated_assertion' WHEN pos1 > 0 AND neg1 > 0 THEN 'semantic_reversal'
+  WHEN env THEN 'environment_noise_confirmed' WHEN nt1 >= 3 AND kinds1 = 1 AND un1 = 0 THEN 'gold_candidate' WHEN said1 >= 2 THEN 'hardcase_substantive_divergence' ELSE 'manual_annotation_insufficient_evidence' END AS reason FROM n""")
+def classify_five_v1(spark, sf):
+    return five_class.classify_five_v1(_answers(spark, sf), FAMILIES).select("id", "reason")
+
+
+@query("classify_five_v2", f"""WITH {_ANSWER_SQL} SELECT id, CASE WHEN pos > 0 AND neg > 0 THEN 'semantic_reversal' WHEN e = 'audio_too_short' THEN 'environment_noise_audio_too_short' WHEN se = 3 AND e = 'audible' THEN 'environment_noise_background' WHEN se = 3 AND e = 'inaudible' THEN 'environment_noise_silence'
+  WHEN se = 2 AND nt = 1 AND e = 'audible' AND pos + neg = 0 THEN 'environment_noise_human_noise' WHEN nt >= 2 AND kinds = 1 AND un = 0 THEN 'gold_candidate' {_TAIL_SQL.format(short="WHEN se = 2 AND nt = 1 AND pos + neg > 0 THEN 'critical_short_response_unsupported'")} AS reason FROM n""")
+def classify_five_v2(spark, sf):
+    return five_class.classify_five_v2(_answers(spark, sf), FAMILIES).select("id", "reason")
+
+
+@query("classify_five_v2_2", f"""WITH {_ANSWER_SQL} SELECT id, CASE WHEN pos > 0 AND neg > 0 THEN 'semantic_reversal' WHEN e = 'audio_too_short' THEN 'environment_noise_audio_too_short' WHEN se = 3 AND e = 'audible' THEN 'environment_noise_background' WHEN se = 3 AND e = 'inaudible' THEN 'environment_noise_silence'
+  WHEN se = 2 AND nt = 1 AND e = 'audible' AND pos + neg = 0 THEN 'environment_noise_human_noise' WHEN nt >= 2 AND kinds = 1 AND un = 0 THEN 'gold_candidate' {_TAIL_SQL.format(short="WHEN se >= 2 AND nt = 1 AND pos + neg > 0 THEN 'critical_short_response_unsupported'")} AS reason FROM n""")
+def classify_five_v2_2(spark, sf):
+    return classify.classify_five(_answers(spark, sf), FAMILIES).select("id", "reason")
