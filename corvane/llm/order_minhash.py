@@ -22,6 +22,8 @@ from corvane.runtime import parts_for
 
 #: Words in a k-mer, and sketches.
 WORDS, SKETCHES = 3, 16
+#: Expected k-mers among which a sketch's two least are sought first.
+FEW = 16
 #: Steps back that double up to the length of the longest array.
 STEPS = [1 << b for b in range(30, -1, -1)]
 #: Bytes of stored input for each task, and buckets of consecutive keys for each task.
@@ -34,15 +36,15 @@ def _bound(value: Column, use) -> Column:
 
 
 def numbered_kmers(text: Column, words: int = WORDS) -> Column:
-    """struct(ids array<long>, at array<int>): hashes of the occurrence-numbered k-mers and their first words.
+    """array<struct(id, p)>: hashes of the occurrence-numbered k-mers and their first words.
 
-    Fewer words than a k-mer has: one k-mer of all of them; no words: empty arrays.
+    Fewer words than a k-mer has: one k-mer of all of them; no words: an empty array.
     """
     w = F.filter(F.split(text, r"\s+"), lambda x: x != "")
 
     def kmers(ws):
         n = F.greatest(F.size(ws) - (words - 1), F.least(F.size(ws), F.lit(1)))
-        return F.transform(F.slice(ws, F.lit(1), n), lambda x, i: F.struct(F.xxhash64(x, *(F.get(ws, i + j) for j in range(1, words))).alias("h"), i.alias("p")))
+        return F.transform(F.slice(ws, F.lit(1), n), lambda x, i: F.xxhash64(x, *(F.get(ws, i + j) for j in range(1, words))))
 
     def number(h, x, i):
         def back(t, b):
@@ -52,31 +54,42 @@ def numbered_kmers(text: Column, words: int = WORDS) -> Column:
         far = F.aggregate(F.array(*map(F.lit, STEPS)), F.lit(0), back)
         return F.when((i > 0) & (F.get(h, F.greatest(i - 1, F.lit(0))) == x), far).otherwise(F.lit(0))
 
-    def ids(s):
-        return _bound(s["h"], lambda h: F.struct(F.transform(h, lambda x, i: F.xxhash64(x, number(h, x, i))).alias("ids"), s["p"].alias("at")))
+    def repeated(h):
+        s = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
+        return _bound(s, lambda t: _bound(t["h"], lambda g: F.transform(t, lambda x, i: F.struct(F.xxhash64(x["h"], number(g, x["h"], i)).alias("id"), x["p"].alias("p")))))
 
-    return _bound(F.array_sort(_bound(w, kmers)), ids)
+    def ids(h):  # without repeats all numbers are 0, and nothing need be sorted
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.transform(h, lambda x, i: F.struct(F.xxhash64(x, F.lit(0)).alias("id"), i.alias("p")))).otherwise(repeated(h))
+
+    return _bound(_bound(w, kmers), ids)
 
 
 def sketch(kmers: Column, sketches: int = SKETCHES) -> Column:
-    """array<long>: for each sketch the hash of its two least k-mers in text order; of the only one; 0 without any."""
+    """array<long>: for each sketch the hash of its two least k-mers in text order; of the only one; 0 without any.
 
-    def one(i: int) -> Column:
-        def of(rank):
-            low = F.array_min(rank)
+    The least are sought among the k-mers whose rank is so low that about
+    ``FEW`` are expected; among all where fewer than two are found.
+    """
+    low, span = float(-(1 << 63)), float(1 << 64)
+    n = F.size(kmers)
 
-            def pair(m):
-                next_ = F.array_min(F.array_remove(rank, m))
-                return _bound(next_, lambda n: F.when(n.isNull(), F.xxhash64(m)).when(where(m) <= where(n), F.xxhash64(m, n)).otherwise(F.xxhash64(n, m)))
+    def one(i: int, bound: Column) -> Column:
+        rank = lambda x: F.xxhash64(F.lit(i).cast("long"), x["id"])
+        ranked = lambda xs: F.transform(xs, lambda x: F.struct(rank(x).alias("r"), x["p"].alias("p")))
+        few = F.filter(kmers, lambda x: rank(x) < bound)
+        some = _bound(few, lambda f: F.when(F.size(f) >= 2, ranked(f)).otherwise(ranked(kmers)))
 
-            def where(value):
-                return F.get(kmers["at"], (F.array_position(rank, value) - 1).cast("int"))
+        def pair(v):
+            a, b = v["a"], v["b"]
+            return F.when(b.isNull(), F.xxhash64(a["r"])).when(a["p"] <= b["p"], F.xxhash64(a["r"], b["r"])).otherwise(F.xxhash64(b["r"], a["r"]))
 
-            return _bound(low, pair)
+        def of(xs):
+            return _bound(F.array_min(xs), lambda m: _bound(F.struct(m.alias("a"), F.array_min(F.filter(xs, lambda x: x["r"] != m["r"])).alias("b")), pair))
 
-        return F.when(F.size(kmers["ids"]) == 0, F.lit(0)).otherwise(_bound(F.transform(kmers["ids"], lambda x: F.xxhash64(F.lit(i).cast("long"), x)), of))
+        return F.when(n == 0, F.lit(0)).otherwise(_bound(some, of))
 
-    return F.array(*map(one, range(sketches)))
+    bound = F.when(n <= FEW, F.lit((1 << 63) - 1)).otherwise((F.lit(low) + F.lit(span * FEW) / n).cast("long"))
+    return _bound(bound, lambda b: F.array(*(one(i, b) for i in range(sketches))))
 
 
 def as_text(sketches: Column) -> Column:
