@@ -31,10 +31,9 @@ def representatives(gathered: DataFrame, families: Families) -> DataFrame:
     return gathered.withColumns(out)
 
 
-def relation(a: Column, b: Column, short_chars: int = 6) -> Column:
+def relation(a: Column, b: Column) -> Column:
     """equivalent, conflict, divergent or unclear, of two representatives; null unless both vote."""
     dist = similarity.symmetric_distance(a["key"], b["key"])
-    short = (F.length(a["text"]) <= short_chars) | (F.length(b["text"]) <= short_chars)
     both = (a["state"] == "stable_text") & (b["state"] == "stable_text")
     return F.when(both, F.when((a["text"] == b["text"]) | (a["key"] == b["key"]), "equivalent").when(semantics.polarity_conflict(a["text"], b["text"]).isNotNull(), "conflict").when(dist >= 0.25, "divergent").otherwise("unclear"))
 

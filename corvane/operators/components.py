@@ -55,19 +55,21 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int = 60, local_edges: int | None = None) -> DataFrame:
     """``edges`` (u, v: same ordered type) to rows (node, component).
 
     ``component`` is the least node reachable, the node itself included. Rows
     with a null end are dropped, loops and repeats do no harm; nodes that have
     no edge do not occur in the result. An empty table gives an empty table.
+    The result is the same on either side of ``local_edges`` (``LOCAL_EDGES``).
     """
     now = settle(
         edges.where("u is not null and v is not null and u <> v")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
-    if now.limit(LOCAL_EDGES + 1).count() <= LOCAL_EDGES:
+    small = LOCAL_EDGES if local_edges is None else local_edges
+    if now.limit(small + 1).count() <= small:
         kind = now.schema["u"].dataType.simpleString()
         return now.coalesce(1).mapInPandas(_local, f"node {kind}, component {kind}")
     mark = None

@@ -60,13 +60,16 @@ def vs_base(summary_rows: DataFrame, base: str) -> DataFrame:
 def gold_facts(df: DataFrame) -> DataFrame:
     """Adds kind, semantic, group and role of reference labels by their fallback chains.
 
-    Needs nullable gold_text, gold_kind, type, human_semantic, polarity,
-    leakage_group_id, call_group_id, dataset_role, split.
+    Needs nullable gold_text, gold_kind, type, human_semantic, polarity. Of the
+    groups (leakage_group_id, call_group_id, source_group_id, group_id) and roles
+    (dataset_role, eval_role, split, reservation_role) those that are columns
+    count, in this order.
     """
     blank = lambda c: F.nullif(F.trim(F.lower(F.col(c))), F.lit(""))
     kind = F.coalesce(blank("gold_kind"), F.when(F.col("type").isin(*EMPTY_REFERENCE) | (F.col("gold_text") == ""), "non_speech").otherwise("speech"))
-    roles = [F.when(F.lower(F.trim(F.col(c))).isin("eval_core", "eval_random"), F.lower(F.trim(F.col(c)))) for c in ("dataset_role", "split")]
-    group = F.coalesce(*[F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) for c in ("leakage_group_id", "call_group_id")], F.col("id").cast("string"))
+    own = lambda *names: [F.col(c).cast("string") for c in names if c in df.columns]
+    roles = [F.when(F.lower(F.trim(c)).isin("eval_core", "eval_random"), F.lower(F.trim(c))) for c in own("dataset_role", "eval_role", "split", "reservation_role")]
+    group = F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in own("leakage_group_id", "call_group_id", "source_group_id", "group_id")], F.col("id").cast("string"))
     return df.withColumns({"kind": kind, "semantic": F.coalesce(blank("human_semantic"), blank("polarity"), F.lit("unknown")), "group_key": group, "role": F.coalesce(*roles, F.lit(""))})
 
 

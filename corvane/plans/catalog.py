@@ -613,15 +613,30 @@ def group_size_histogram(spark, sf):
     return dataset.size_histogram(leakage_groups(spark, sf))
 
 
-@query("components_sparse", """WITH RECURSIVE e AS (SELECT 'u' || user_id AS a, 'e' || event_type AS b FROM events WHERE event_id % 50 = -1 UNION SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer UNION SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier),
+@query("components_sparse", """WITH RECURSIVE e AS (SELECT 'u' || user_id AS a, 'e' || event_type AS b FROM events UNION SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer UNION SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier),
   s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS root FROM s UNION SELECT s.b, r.root FROM r JOIN s ON r.node = s.a) SELECT node, min(root) AS component FROM r GROUP BY node""")
 def components_sparse(spark, sf):
     c, s = table(spark, sf, "customer"), table(spark, sf, "supplier")
     name = lambda p, k: F.concat(F.lit(p), k)
     e = c.select(name("c", "c_custkey").alias("u"), name("n", "c_nationkey").alias("v")).union(s.select(name("s", "s_suppkey"), name("n", "s_nationkey")))
+    e = e.union(table(spark, sf, "events").select(name("u", "user_id"), name("e", "event_type")))
     return connected_components(e)
 
 
+_CHAIN_SQL = """WITH RECURSIVE e AS (SELECT 'd' || doc_id AS a, 'd' || (doc_id + 1) AS b FROM documents WHERE doc_id % 7 <> 6 AND doc_id + 1 IN (SELECT doc_id FROM documents) UNION SELECT 'd' || doc_id, 'l' || lang FROM documents WHERE doc_id % 21 = 0),
+  s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS root FROM s UNION SELECT s.b, r.root FROM r JOIN s ON r.node = s.a) SELECT node, min(root) AS component FROM r GROUP BY node"""
+
+
+@query("components_rounds", _CHAIN_SQL)
+def components_rounds(spark, sf):
+    """Chains of rows that meet at hubs, by the distributed rounds whatever the size."""
+    d = table(spark, sf, "documents").select("doc_id", "lang")
+    name = lambda p, k: F.concat(F.lit(p), k)
+    step = d.where("doc_id % 7 <> 6").select((F.col("doc_id") + 1).alias("next"), "doc_id").join(d.select(F.col("doc_id").alias("next")), "next")
+    e = step.select(name("d", "doc_id").alias("u"), name("d", "next").alias("v")).union(d.where("doc_id % 21 = 0").select(name("d", "doc_id"), name("l", "lang")))
+    return connected_components(e, local_edges=0)
+
+
 @query("warehouse_counts", """WITH d AS (SELECT lang AS category, CASE WHEN l.doc_id IS NULL THEN 'pending' ELSE 'annotated' END AS state, CASE WHEN toxic = 1 THEN 'toxic' WHEN toxic = 0 THEN 'clean' END AS kind FROM documents d LEFT JOIN labels l USING (doc_id))
   SELECT 'category' AS field, category AS value, count(*) AS n FROM d GROUP BY 2 UNION ALL SELECT 'state', state, count(*) FROM d GROUP BY 2 UNION ALL SELECT 'kind', coalesce(kind, 'unknown'), count(*) FROM d GROUP BY 2""")
 def warehouse_counts(spark, sf):
@@ -645,7 +660,9 @@ def eval_ready(spark, sf):
     return dataset.eval_ready(d).select("rows", "gold", "duplicate_ids", "missing_audio", "gold_ratio", "trust")
 
 
-@query("snapshot_digest")
+@query("snapshot_digest", """WITH f AS (SELECT doc_id::VARCHAR AS k, length(doc_id::VARCHAR) || ':' || doc_id || coalesce(length(lang) || ':' || lang, '~') || coalesce(length(source) || ':' || source, '~') || coalesce(length(text) || ':' || text, '~') AS line FROM documents),
+  r AS (SELECT k, sha256(line) AS h, ('0x' || substr(sha256(k), 1, 8))::BIGINT % 4096 AS b FROM f), g AS (SELECT b, count(*) AS n, sha256(string_agg(h, '' ORDER BY k, h)) AS d FROM r GROUP BY b)
+  SELECT sum(n)::BIGINT AS rows, sha256(string_agg(d, '' ORDER BY b)) AS digest FROM g""")
 def snapshot_digest(spark, sf):
     return dataset.snapshot_digest(table(spark, sf, "documents"), "doc_id", ["lang", "source", "text"])
 

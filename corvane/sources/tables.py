@@ -44,7 +44,11 @@ def read_gold(spark: SparkSession, path: str, summary_ids: tuple[str, ...] = ("
 
 
 def catalog_record(spark: SparkSession, catalog: str, kind: str, name: str, payload: str) -> str:
-    """Store an immutable record; the same payload again is harmless, another under the same name raises. Returns its id."""
+    """Store an immutable record; the same payload again is harmless, another under the same name raises. Returns its id.
+
+    Two writers at once may both append: the record is read again after the
+    write, and every writer but that of the least digest raises.
+    """
     import hashlib
 
     digest = hashlib.sha256(payload.encode()).hexdigest()
@@ -58,6 +62,9 @@ def catalog_record(spark: SparkSession, catalog: str, kind: str, name: str, payl
         old = None
     if old is None:
         row.write.mode("append").parquet(catalog)
+        least = spark.read.parquet(catalog).where(F.col("id") == rid).agg(F.min("digest")).first()[0]
+        if least != digest:
+            raise ValueError(f"{rid} was stored by another writer with another payload")
     elif old["digest"] != digest:
         raise ValueError(f"{rid} exists with another payload")
     return rid

@@ -152,3 +152,47 @@ def test_language_by_shares(spark):
     rows = [("你好吗", "zh"), ("hello there", "en"), ("你好 abcd", "mixed"), ("", "empty"), (" \n", "empty"), ("123", "unknown"), (None, "empty"), ("你好你好你好a", "zh"), ("a" * 5000 + "你", "en")]
     got = spark.createDataFrame(rows, "t string, w string").select(text.detect_language(F.col("t")).alias("g"), "w").collect()
     assert [r["g"] for r in got] == [r["w"] for r in got]
+
+
+def test_roles_and_groups_by_all_their_names(spark):
+    rows = [("a", None, " EVAL_core ", None, None, "g"), ("b", "dev", None, "train", "eval_random", " "), ("c", "eval_random", "eval_core", None, None, None)]
+    d = spark.createDataFrame(rows, "id string, dataset_role string, eval_role string, split string, reservation_role string, source_group_id string")
+    d = d.withColumns({c: F.lit(None).cast("string") for c in ("gold_text", "gold_kind", "type", "human_semantic", "polarity")})
+    got = {r["id"]: (r["role"], r["group_key"]) for r in metrics.gold_facts(d).collect()}
+    assert got == {"a": ("eval_core", "g"), "b": ("eval_random", "b"), "c": ("eval_random", "c")}
+
+
+def test_wav_chunks_are_walked(spark, tmp_path):
+    import struct
+
+    from corvane.sources import manifest
+
+    def wav(extra=b"", claim=None, fmt=True, odd=False):
+        data = b"\0" * 32000
+        body = b"WAVE" + (b"LIST" + struct.pack("<I", len(extra)) + extra + (b"\0" if len(extra) % 2 else b"") if extra else b"")
+        body += b"fmt " + struct.pack("<IHHIIHH", 16, 1, 2, 8000, 32000, 4, 16) if fmt else b""
+        body += b"data" + struct.pack("<I", len(data) if claim is None else claim) + data
+        return b"RIFF" + struct.pack("<I", len(body)) + body
+
+    for name, raw in {"plain": wav(), "list": wav(b"x" * 37), "claims": wav(claim=1 << 30), "none": wav(fmt=False), "text": b"no sound"}.items():
+        (tmp_path / f"{name}.wav").write_bytes(raw)
+    got = {r["id"]: (r["sample_rate"], r["channels"], r["duration"], "broken" in (r["labels"] or {})) for r in manifest.ingest(spark, str(tmp_path)).collect()}
+    assert got == {"plain": (8000, 2, 1.0, False), "list": (8000, 2, 1.0, False), "claims": (8000, 2, 1.0, False), "none": (None, None, None, True), "text": (None, None, None, True)}
+
+
+def test_write_samples_keeps_the_old_table_until_the_new_one_stands(spark, tmp_path):
+    from corvane.sources import manifest
+
+    path = str(tmp_path / "t")
+    manifest.write_samples(spark.createDataFrame([("a",)], "id string"), path)
+    manifest.write_samples(spark.createDataFrame([("b",), ("c",)], "id string"), path)
+    assert spark.read.parquet(path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_components_are_the_same_by_rounds(spark):
+    from corvane.operators.components import connected_components
+
+    rnd = random.Random(7)
+    e = spark.createDataFrame([(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)], "u long, v long")
+    a, b = ({r["node"]: r["component"] for r in connected_components(e, local_edges=n).collect()} for n in (0, 10**6))
+    assert a == b and len(set(a.values())) > 5
