@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm._common import MEMO_CHARS, forget_latest, hold, opened, publish, small_batches, tokenizer_path
-from corvane.runtime import scratch, settle
+from corvane.runtime import parts_for, scratch, settle
 
 #: Ids in a sequence, and sequences in a record batch.
 LENGTH, BATCH = 2048, 64
+#: Bytes of stored input for each file.
+TASK_BYTES = 64 << 20
 #: Words that a worker remembers at most.
 WORDS_KEPT = 700_000
 
@@ -275,7 +277,7 @@ def write_sequences(docs: DataFrame, path: str | None = None, text: str = "text"
         return pa.schema([("key", b.schema.field(0).type), ("start", pa.int64()), ("n", pa.int64())])
 
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = parts_for(docs, TASK_BYTES)
     done = settle(rows.repartitionByRange(n, "k").sortWithinPartitions("k").mapInArrow(run, "file string, part int, docs long, ids long"))
     # one number for each file, as many as partitions
     sums, offset = [], 0

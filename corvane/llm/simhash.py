@@ -22,7 +22,7 @@ from corvane.operators.components import connected_components
 from corvane.runtime import settle
 
 #: Fingerprints below one node of a pair that goes to a task.
-NODE_ROWS = 65_536
+NODE_ROWS = 262_144
 #: Bits that a DataFrame step goes down.
 STEP = 4
 #: Node pairs handled at once inside a task, and leaf products compared directly.
@@ -152,18 +152,20 @@ class _Sets:
 
 
 def _links(pdf, budget: int):
-    """Star links that join what the walk below one node pair finds."""
+    """Star links that join what the walk below one node pair finds. Rows: side, and the arrays of a node."""
     import numpy as np
     import pandas as pd
 
     first = pdf.iloc[0]
     depth, errors, twin = int(first["depth"]), int(first["err"]), bool(first["twin"])
-    fp, rep, side = pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["rep"].to_numpy(np.int64), pdf["side"].to_numpy()
-    at = [np.flatnonzero(side == s) for s in (0, 1)]
-    at = [x[np.argsort(fp[x], kind="stable")] for x in at]
-    a = fp[at[0]]
-    b = a if twin else fp[at[1]]
-    ids = rep[at[0]] if twin else np.concatenate([rep[at[0]], rep[at[1]]])
+    sides = {}
+    for side, fps, reps in zip(pdf["side"], pdf["fps"], pdf["reps"]):
+        fp = np.asarray(fps, np.int64).view(np.uint64)
+        order = np.argsort(fp, kind="stable")
+        sides[int(side)] = (fp[order], np.asarray(reps, np.int64)[order])
+    a = sides[0][0]
+    b = a if twin else sides[1][0]
+    ids = sides[0][1] if twin else np.concatenate([sides[0][1], sides[1][1]])
     sets, shift = _Sets(len(ids)), 0 if twin else len(a)
     for i, j in walk_pairs(a, b, depth, errors, budget):
         sets.add(i, j + shift)
@@ -184,16 +186,25 @@ def similar_links(nodes: DataFrame, budget: int = 2, node_rows: int = NODE_ROWS)
     fingerprint and node pair instead of all pairs.
     """
     spark = nodes.sparkSession
+    total = nodes.count()
+    if not total:
+        return spark.createDataFrame([], "u long, v long")
+    parts = max(8, total // 100_000)  # of the node and pair tables, which are small beside the fingerprints
+    # how many fingerprints lie below each node: counted once at a depth where an even trie fits tasks, summed up for the levels above
+    even = 0
+    while even < 64 and total >> even > node_rows:
+        even += STEP
+    deep = settle(nodes.groupBy(_prefix(even).alias("p")).agg(F.count("*").alias("n")).coalesce(parts)) if even else None
 
     def level(depth: int) -> DataFrame:
-        return nodes.groupBy(_prefix(depth).alias("p")).agg(F.count("*").alias("n"))
+        if depth > even:
+            return nodes.groupBy(_prefix(depth).alias("p")).agg(F.count("*").alias("n"))
+        up = F.shiftrightunsigned("p", even - depth) if even - depth < 64 else F.lit(0).cast("long")
+        return deep.groupBy(up.alias("p")).agg(F.sum("n").alias("n"))
 
-    total = nodes.count()
-    parts = max(8, total // 100_000)  # of the node and pair tables, which are small beside the fingerprints
-    top = level(0)
-    pairs = settle(top.select(F.col("p").alias("pa"), F.col("p").alias("pb"), F.col("n").alias("na"), F.col("n").alias("nb"), F.lit(0).alias("err"), F.lit(0).alias("depth")))
+    top = spark.createDataFrame([(0, 0, total, total, 0, 0)], "pa long, pb long, na long, nb long, err int, depth int")
     small = (F.col("na") <= node_rows) & (F.col("nb") <= node_rows)
-    ready, depth = [], 0
+    pairs, ready, depth = top, [], 0
     while True:
         ready.append(pairs.where(small | (F.col("depth") >= 64)))
         wide = pairs.where(~small & (F.col("depth") < 64))
@@ -212,17 +223,15 @@ def similar_links(nodes: DataFrame, budget: int = 2, node_rows: int = NODE_ROWS)
     links = None
     for at, own in enumerate(ready):
         own = own.withColumn("twin", F.col("pa") == F.col("pb"))
-        if at == 0:  # the root has one pair, itself
-            sent = nodes.select("fp", "rep", F.lit(0).alias("side"), F.lit(0).cast("long").alias("pa"), F.lit(0).cast("long").alias("pb"), F.lit(0).alias("err"), F.lit(0).alias("depth"), F.lit(True).alias("twin"))
-            if total <= node_rows:
-                links = sent.groupBy("depth", "pa", "pb").applyInPandas(lambda pdf: _links(pdf, budget), "u long, v long")
-            continue
         left = own.select(F.col("pa").alias("p"), F.lit(0).alias("side"), "pa", "pb", "err", "depth", "twin")
         right = own.where("not twin").select(F.col("pb").alias("p"), F.lit(1).alias("side"), "pa", "pb", "err", "depth", "twin")
-        sent = left.union(right).join(nodes.withColumn("p", _prefix(STEP * at)), "p").drop("p")
-        part = sent.groupBy("depth", "pa", "pb").applyInPandas(lambda pdf: _links(pdf, budget), "u long, v long")
+        ends = left.union(right)
+        # each node of a pair is packed once, at most ``node_rows`` of 16 bytes, and goes to its pairs as one row
+        below = nodes.withColumn("p", _prefix(STEP * at)).join(ends.select("p").distinct(), "p", "left_semi")
+        packed = below.groupBy("p").agg(F.array_sort(F.collect_list(F.struct("fp", "rep"))).alias("x")).select("p", F.col("x")["fp"].alias("fps"), F.col("x")["rep"].alias("reps"))
+        part = ends.join(packed, "p").drop("p").groupBy("depth", "pa", "pb").applyInPandas(lambda pdf: _links(pdf, budget), "u long, v long")
         links = part if links is None else links.unionByName(part)
-    return links if links is not None else spark.createDataFrame([], "u long, v long")
+    return links
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", budget: int = 2, words: int = 3) -> DataFrame:

@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm._common import opened, publish, small_batches
-from corvane.runtime import scratch, settle
+from corvane.runtime import parts_for, scratch, settle
 
 #: Skippable frame that holds a dictionary (fixed values, from the published format).
 SKIPPABLE = 0x184D2A5D
 #: Dictionary size, and the most records and bytes that it is trained on.
 DICT_BYTES, TRAIN_RECORDS, TRAIN_BYTES = 65_536, 400, 4_000_000
+#: Bytes of stored input for each archive.
+TASK_BYTES = 64 << 20
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -186,7 +188,7 @@ def write_archives(pages: DataFrame, path: str | None = None, html: str = "html"
 
     # one row for each key (a key repeats only with another payload), so the join is on unique keys
     again = again.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("d", "refers_to"))).alias("known"))
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = parts_for(pages, TASK_BYTES)
     rows = pages.repartition(n, "k").join(again, "k", "left")
     refers = F.when(F.col("known").isNotNull(), F.try_element_at("known", F.sha1(_bytes(F.col("h")))))
     return settle(rows.select("k", "u", "h", refers.alias("refers_to")).sortWithinPartitions("k").mapInArrow(run, "file string, records long"))
