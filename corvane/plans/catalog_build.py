@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corvane.operators import building, classify, consensus, dataset, five_class, reports, routes
+from corvane.operators import building, classify, consensus, dataset, evidence, five_class, reports, routes
 from corvane.plans.catalog import _DOCS_SQL, _SCORED_SQL, _TURNS_SQL, FAMILIES, _scored, _unit_sql, documents, query, turn_routes
 from corvane.runtime import table
 
@@ -354,3 +354,46 @@ def classify_five_v2(spark, sf):
   WHEN se = 2 AND nt = 1 AND e = 'audible' AND pos + neg = 0 THEN 'environment_noise_human_noise' WHEN nt >= 2 AND kinds = 1 AND un = 0 THEN 'gold_candidate' {_TAIL_SQL.format(short="WHEN se >= 2 AND nt = 1 AND pos + neg > 0 THEN 'critical_short_response_unsupported'")} AS reason FROM n""")
 def classify_five_v2_2(spark, sf):
     return classify.classify_five(_answers(spark, sf), FAMILIES).select("id", "reason")
+
+
+# --- evidence and counts ------------------------------------------------------------
+
+_ACOUSTIC_SQL = _DOCS_SQL + """, v AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'no' WHEN 2 THEN 'YES' END AS gone, CASE WHEN n_chars % 3 = 0 THEN '1' END AS sure, CASE WHEN n_chars % 5 = 0 THEN 'true' END AS over, CASE WHEN n_chars % 2 = 0 THEN 'true' ELSE 'false' END AS over_sure,
+  CASE WHEN doc_id % 11 = 0 THEN 'true' END AS human, CASE doc_id % 7 WHEN 0 THEN 'music' WHEN 1 THEN 'voice' END AS back FROM docs)"""
+
+
+@query("acoustic_evidence", f"""WITH {_ACOUSTIC_SQL} SELECT doc_id, CASE WHEN gone IN ('true', 'YES') AND sure = '1' THEN 'environment_confirmed' WHEN (over = 'true' AND over_sure = 'true') OR human = 'true' THEN 'crosstalk_confirmed' WHEN back = 'music' THEN 'background_only' ELSE 'unknown' END AS state,
+  concat_ws(',', CASE WHEN gone IN ('true', 'YES') THEN CASE WHEN sure IS NULL THEN 'no_target_speech_untrusted' END ELSE 'no_target_speech_missing' END, CASE WHEN over = 'true' THEN CASE WHEN over_sure = 'false' THEN 'overlap_untrusted' END ELSE 'overlap_detector_missing' END, 'vad_uncalibrated', 'dnsmos_uncalibrated') AS gaps FROM v""")
+def acoustic_evidence(spark, sf):
+    d, i, n = documents(spark, sf), F.col("doc_id"), F.col("n_chars")
+    cells = {
+        "no_target_speech": F.when(i % 4 == 0, "true").when(i % 4 == 1, "no").when(i % 4 == 2, "YES"), "no_target_speech_trusted": F.when(n % 3 == 0, "1"), "overlap_detected": F.when(n % 5 == 0, "true"), "overlap_detected_trusted": F.when(n % 2 == 0, "true").otherwise("false"),
+        "human_crosstalk_confirmed": F.when(i % 11 == 0, "true"), "background_label": F.when(i % 7 == 0, "music").when(i % 7 == 1, "voice"),
+    }
+    d = d.withColumns({"quality": F.create_map(*[x for k, v in cells.items() for x in (F.lit(k), v)]), "labels": F.create_map().cast("map<string,string>")})
+    e = d.select("doc_id", evidence.acoustic_evidence().alias("e"))
+    return e.select("doc_id", "e.state", F.array_join("e.gaps", ",").alias("gaps"))
+
+
+@query("older_names", f"""WITH {_DOCS_SQL}, v AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'gold' WHEN 1 THEN 'noise' WHEN 2 THEN 'voicemail' WHEN 3 THEN 'hardcase' WHEN 4 THEN 'semantic_risk' END AS c, CASE n_chars % 4 WHEN 0 THEN 'candidate' WHEN 1 THEN 'manual_review' WHEN 2 THEN 'retry' ELSE 'excluded' END AS s, CASE WHEN doc_id % 5 = 0 THEN 'route_quarantine_x' END AS why FROM docs)
+  SELECT doc_id, CASE WHEN s = 'excluded' THEN 'invalid_audio' WHEN c IN ('semantic_risk', 'hardcase') AND s = 'manual_review' THEN c WHEN c IN ('noise', 'voicemail', 'gold') AND s = 'candidate' THEN c WHEN s = 'retry' THEN CASE WHEN why IS NULL THEN 'inference_incomplete' ELSE 'route_quarantine' END ELSE 'hold_unclassified' END AS type,
+  CASE WHEN s = 'excluded' THEN 'exclude' WHEN c IN ('semantic_risk', 'hardcase') AND s = 'manual_review' THEN 'manual_review' WHEN c = 'noise' AND s = 'candidate' THEN 'noise_archive' WHEN c = 'voicemail' AND s = 'candidate' THEN 'voicemail_spot_audit' WHEN c = 'gold' AND s = 'candidate' THEN 'spot_audit' WHEN s = 'retry' THEN 'retry' ELSE 'hold' END AS review_queue FROM v""")
+def older_names(spark, sf):
+    d, i, n = documents(spark, sf), F.col("doc_id"), F.col("n_chars")
+    c = F.when(i % 6 == 0, "gold").when(i % 6 == 1, "noise").when(i % 6 == 2, "voicemail").when(i % 6 == 3, "hardcase").when(i % 6 == 4, "semantic_risk")
+    s = F.when(n % 4 == 0, "candidate").when(n % 4 == 1, "manual_review").when(n % 4 == 2, "retry").otherwise("excluded")
+    m = d.select("doc_id", evidence.older_names(c, s, F.when(i % 5 == 0, "route_quarantine_x")).alias("m"))
+    return m.select("doc_id", "m.type", "m.review_queue")
+
+
+@query("batch_counts", f"""WITH {_DOCS_SQL} SELECT 'lang' AS field, coalesce(lang, 'None') AS value, count(*) AS n FROM docs GROUP BY 2 UNION ALL SELECT 'quality', coalesce(quality::VARCHAR, 'None'), count(*) FROM docs GROUP BY 2
+  UNION ALL SELECT 'tags', t, count(*) FROM (SELECT unnest(CASE WHEN toxic = 1 THEN ['toxic', 'held'] WHEN n_chars < 300 THEN ['short'] ELSE [] END) AS t FROM docs) GROUP BY t""")
+def batch_counts(spark, sf):
+    tags = F.when(F.col("toxic") == 1, F.array(F.lit("toxic"), F.lit("held"))).when(F.col("n_chars") < 300, F.array(F.lit("short")))
+    return evidence.batch_counts(documents(spark, sf).withColumn("tags", tags), ["lang", "quality"], ["tags"])
+
+
+@query("package_checks", "SELECT count(*) FILTER (doc_id % 6 = 0) AS parts_overlap, count(*) FILTER (doc_id % 2 <> 0 AND doc_id % 3 <> 0) = 0 AS parts_cover FROM documents")
+def package_checks(spark, sf):
+    d = table(spark, sf, "documents")
+    return evidence.package_checks(d, {"a": d.where("doc_id % 2 = 0"), "b": d.where("doc_id % 3 = 0")}, "doc_id")
