@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import bpe_trie, decontam, language_id, shingle_join
+from corvane.llm import bpe_trie, decontam, language_id, simhash
 from corvane.llm._common import tokenizer_path
 from corvane.runtime import scratch, table
 
@@ -18,47 +18,69 @@ LEAST_SCORE = 0.4
 
 
 def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows with a number ``_row`` of their own, written once so that every read sees the same; ids may repeat or be null."""
-    path = scratch(spark, "rows")
-    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
-    return spark.read.parquet(path)
+    """The rows with a number ``_row`` of their own that every read gives again; ids may repeat or be null.
+
+    Rows of files are numbered by their place in them. Other frames may change
+    between reads and are written first.
+    """
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        path = scratch(spark, "rows")
+        docs.write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs.withColumn("_row", F.monotonically_increasing_id())
+
+
+def _without(spark: SparkSession, rows: DataFrame, out: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows but those whose numbers are in ``out``, which is written first so that a short list is sent to the rows."""
+    path = scratch(spark, "out")
+    out.select("_row").distinct().write.parquet(path)
+    return rows.join(spark.read.parquet(path), "_row", "left_anti").select(*columns)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language: no letter, or no language with enough of the letters.
+    """Drop documents without a language: no letter (null and empty texts too), or no language with enough of the letters.
 
-    A document with a null key is dropped too.
+    A document with a null key is dropped too. Rows that repeat are decided each.
     """
     model = language_id.train(docs.where(~language_id.held_out()))
-    rows = _numbered(spark, docs.where("doc_id is not null"))
-    kept = language_id.predict(rows, model, key="_row").where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("_row")
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    rows = docs.where("doc_id is not null").select(F.struct(*docs.columns).alias("_doc"), F.col("text").alias("_text"))
+    kept = language_id.predict(rows, model, text="_text", key="_doc", spans=False).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return kept.select("_doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one row of each group of near copies: that with the least id (of rows that repeat it, the least text digest)."""
+    """Keep one row of each group of near copies: that with the least id (of rows that repeat it, the least text digest).
+
+    Null, empty and blank texts are copies of each other. Rows with a null key
+    are documents of their own and give way to rows with one.
+    """
     rows = _numbered(spark, docs)
-    comp = shingle_join.near_duplicates(rows, key="_row")
+    comp = simhash.near_copies(rows, key="_row")
+    groups = comp.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    many = comp.join(groups, "component_id")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"), "_row")
-    keep = rows.select("_row", order.alias("o")).join(comp, "_row").groupBy("component_id").agg(F.min("o").alias("o")).select(F.col("o._row").alias("_row"))
-    return rows.join(keep, "_row", "left_semi").select(*docs.columns)
+    ranked = rows.select("_row", order.alias("o")).join(many, "_row")
+    keep = ranked.groupBy("component_id").agg(F.min("o").alias("o")).select(F.col("o._row").alias("_row"))
+    return _without(spark, rows, many.select("_row").join(keep, "_row", "left_anti"), docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that copy a benchmark item."""
+    """Drop documents that copy a benchmark item; null and empty texts copy none, rows that repeat are decided each."""
     rows = _numbered(spark, docs)
-    found = decontam.contaminated(rows, table(spark, sf_dir, "benchmark"), key="_row").select("_row").distinct()
-    return rows.join(found, "_row", "left_anti").select(*docs.columns)
+    return _without(spark, rows, decontam.contaminated(rows, table(spark, sf_dir, "benchmark"), key="_row"), docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, decoded again: (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
+    """Token ids of each document, decoded again: (doc_id, n_tokens, ids_sha256, decoded_sha256).
+
+    One row for each row, also if ids repeat; null and empty texts have no ids.
+    """
     return bpe_trie.encode_decode(docs, vocabulary=tokenizer_path("word_bpe_49k.json"), digests=True)
 
 
 STAGES = [
     ("language ID", identify_language),
-    ("near-dedup", drop_near_duplicates),
+    ("SimHash near-dedup", drop_near_duplicates),
     ("benchmark decontamination", drop_benchmark_passages),
     ("BPE encoding and decoding", encode_tokens),
 ]
