@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from corvane.llm._common import MEMO_CHARS, forget_latest, hold, small_batches, tokenizer_path
 
 #: Words that a worker remembers at most.
-WORDS_KEPT = 350_000
+WORDS_KEPT = 280_000
 #: Junctions of two tokens that a worker remembers at most.
 JOINS_KEPT = 250_000
 #: The word pattern that the quicker engine can stand in for.

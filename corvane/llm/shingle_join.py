@@ -7,15 +7,15 @@ budget is found by blocks. Two sets of similarity ``least`` or more share one of
 their first shingles under any one order of all shingles (prefix filter), so
 every such pair meets in a block of rows that share one. Common shingles come
 last in the order, which keeps the blocks small. A block is not paired with
-itself: the row that has the block's shingle first is compared with the others,
-and what that leaves open between components follows, so a block of many copies
-costs one comparison a row. Rows that share a long passage and little else have
-its shingles late in their order: where a pair's first common shingle stands,
-what follows must hold all that they share (position filter), which two such
-rows cannot reach. Candidates of both kinds pass a second fingerprint, the parities of the
-shingles by hash bits, as long as the set: its differing bits never exceed the
-shingles that two sets do not share, so pairs beyond that error budget are
-dropped without their texts. The rest are compared exactly. No pair is left out.
+itself: its least row is compared with the others, and what that leaves open
+between components follows, so a block of many copies costs one comparison a
+row. Rows that share a long passage and little else have its shingles late in
+their order: where a pair's first common shingle stands, what follows must hold
+all that they share (position filter), which two such rows cannot reach.
+Candidates of both kinds pass a second fingerprint, the parities of the shingles
+by hash bits, as long as the set: its differing bits never exceed the shingles
+that two sets do not share, so pairs beyond that error budget are dropped
+without their texts. The rest are compared exactly. No pair is left out.
 """
 
 from __future__ import annotations
@@ -240,12 +240,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     nodes = keep(first.groupBy("fp").agg(F.min("row").alias("rep"), F.count("*").alias("k")))
     same = first.join(nodes.where("k > 1"), "fp").where("row <> rep").select(F.col("rep").alias("a"), F.col("row").alias("b"))
     walked = simhash.similar_links(nodes.select("fp", "rep"), BUDGET).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
-    # candidates by block: the row with the block's shingle first against the others
-    marks = first.select("row", "n", F.posexplode("prefix").alias("p", "h"))
-    heads = marks.groupBy("h").agg(F.min(F.struct("p", "row", "n")).alias("x")).select("h", F.col("x.row").alias("a"), F.col("x.n").alias("an"), F.col("x.p").alias("ap"))
-    open_rows = keep(marks.join(heads, "h").where("row <> a").select("h", "row", "n", "p", "a", "an", "ap"))
-    links = keep(checked(open_rows.where(_may_share(F.col("n"), F.col("p"), F.col("an"), F.col("ap"), least)).select("a", F.col("row").alias("b")).union(same).union(walked)))
-    open_rows = open_rows.select("h", "row", "n", "p")  # without the heads, which have met all others
+    # candidates by block: the least row against the others
+    marks = first.select("row", F.posexplode("prefix").alias("p", "h"))
+    heads = marks.groupBy("h").agg(F.min("row").alias("a"))
+    met = keep(marks.join(heads, "h").where("row <> a").select("h", "row", "p", "a"))
+    links = keep(checked(met.select("a", F.col("row").alias("b")).union(same).union(walked)))
+    open_rows = met.select("h", "row", "p").join(sets.select("row", "n"), "row")  # without the heads, which have met all others
     while True:
         comp = keep(connected_components(links))
         own = open_rows.join(comp.withColumnRenamed("node", "row"), "row", "left").select("h", "row", "n", "p", F.coalesce("component", "row").alias("c"))
