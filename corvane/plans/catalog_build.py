@@ -326,7 +326,7 @@ def _answers(spark, sf):
         second = c if f != "glm" else f"CASE WHEN (conv_id + turn) % 9 = 0 THEN 1 ELSE {c} END"
         cells += [F.lit(f"{f}_1"), entry(said(c)), F.lit(f"{f}_2"), entry(said(second))]
     d = d.select("id", "conv_id", "turn", F.lit(10.0).alias("duration"), F.create_map(*cells).alias("transcripts"))
-    g = consensus.gather(routes.explode_routes(d, FAMILIES)).join(d.select("id", "conv_id", "turn"), "id")
+    g = consensus.gather(routes.explode_routes(d, FAMILIES)).join(d.select("id", "conv_id", "turn", "transcripts"), "id")
     t, c = F.col("turn") % 5, F.col("conv_id")
     energy = F.when(t == 2, "inaudible").when(t == 3, "borderline").when(t == 4, F.when(c % 2 == 0, "audio_too_short").otherwise("failed")).otherwise("audible")
     runs = F.transform("routes", lambda r: r["run_id"])
@@ -397,3 +397,30 @@ def batch_counts(spark, sf):
 def package_checks(spark, sf):
     d = table(spark, sf, "documents")
     return evidence.package_checks(d, {"a": d.where("doc_id % 2 = 0"), "b": d.where("doc_id % 3 = 0")}, "doc_id")
+
+
+_VOTES_SQL = (
+    _ANSWER_SQL + """, v AS (SELECT id, fam, coalesce(a, '') AS t FROM y UNION ALL SELECT id, fam, coalesce(b, '') FROM y), w AS (SELECT *, CASE WHEN t = '不需要' THEN 'negative' WHEN t = '需要' THEN 'positive' ELSE 'none' END AS cls FROM v WHERE t <> ''),
+f AS (SELECT id, fam, count(*) AS k, count(DISTINCT t) AS kinds, min(t) AS t, CASE WHEN count(DISTINCT cls) FILTER (cls <> 'none') = 1 THEN min(cls) FILTER (cls <> 'none') WHEN count(DISTINCT cls) FILTER (cls <> 'none') = 0 THEN 'none' ELSE 'conflict' END AS sem FROM w GROUP BY id, fam),
+p AS (SELECT id, count(*) AS fams, count(*) FILTER (sem = 'positive') AS pos, count(*) FILTER (sem = 'negative') AS neg, coalesce(max(sem) FILTER (fam = 'qwen'), 'none') AS prim, coalesce(max(sem) FILTER (fam = 'glm'), 'none') AS sec, count(*) FILTER (fam = 'qwen') AS has_prim,
+  count(*) FILTER (kinds > 1) AS torn, count(*) FILTER (kinds = 1) AS voters, count(DISTINCT t) FILTER (kinds = 1) AS voter_kinds FROM f GROUP BY id),
+b AS (SELECT id, count(*) AS said, count(DISTINCT t) AS kinds, count(DISTINCT cls) FILTER (cls <> 'none') AS classes, count(DISTINCT cls) AS groups, count(*) FILTER (length(t) <= 6) AS short FROM w GROUP BY id), c AS (SELECT id, max(k) AS best FROM (SELECT id, t, count(*) AS k, count(DISTINCT fam) AS fs FROM w GROUP BY id, t) WHERE fs >= 2 GROUP BY id),
+z AS (SELECT t.id, coalesce(said, 0) AS said, coalesce(b.kinds, 0) AS kinds, coalesce(classes, 0) AS classes, coalesce(groups, 0) AS groups, coalesce(short, 0) AS short, coalesce(fams, 0) AS fams, coalesce(pos, 0) AS pos, coalesce(neg, 0) AS neg, coalesce(prim, 'none') AS prim, coalesce(sec, 'none') AS sec, coalesce(has_prim, 0) AS has_prim, coalesce(torn, 0) AS torn,
+  coalesce(voters, 0) AS voters, coalesce(voter_kinds, 0) AS voter_kinds, coalesce(best, 0) AS best FROM turns t LEFT JOIN b USING (id) LEFT JOIN p USING (id) LEFT JOIN c USING (id))"""
+)
+
+
+@query("classify_v1_answers", f"""WITH {_VOTES_SQL} SELECT id, CASE WHEN said = 0 THEN 'empty_asr_transcripts' WHEN prim IN ('positive', 'negative') AND sec IN ('positive', 'negative') AND prim <> sec THEN CASE WHEN (pos >= 2 AND pos > neg) OR (neg >= 2 AND neg > pos) THEN 'semantic_inversion_majority' ELSE 'semantic_inversion_unresolved' END
+  WHEN has_prim = 0 AND said > 0 THEN 'primary_family_empty_conflict' WHEN said <= 1 AND fams = 1 THEN 'hallucination_other_families_empty' WHEN said < 2 OR fams < 2 THEN 'insufficient_independent_families' WHEN said = 6 AND kinds = 1 THEN 'all_models_strict_consensus'
+  WHEN best >= 5 THEN 'dominant_cross_family_cluster' ELSE 'no_reliable_consensus' END AS reason FROM z""")
+def classify_v1_answers(spark, sf):
+    d = _answers(spark, sf).withColumn("broken", F.lit(False))
+    return classify.classify_v1(d, FAMILIES.runs, secondary="glm").select("id", "reason")
+
+
+@query("classify_v2_answers", f"""WITH {_VOTES_SQL} SELECT id, CASE WHEN said = 0 THEN 'all_empty_possible_speech_or_unknown' WHEN pos > 0 AND neg > 0 THEN 'semantic_polarity_family_conflict' WHEN groups > 1 THEN 'critical_token_presence_conflict' WHEN short > 0 AND fams < 2 THEN 'short_utterance_without_strict_agreement'
+  WHEN said <= 1 AND fams = 1 THEN 'empty_majority_single_family_with_speech_or_unknown' WHEN has_prim = 0 AND said > 0 THEN 'primary_family_empty_conflict' WHEN torn > 0 AND voters < 2 THEN 'family_internal_conflict_blocks_voting' WHEN said < 2 OR fams < 2 THEN 'insufficient_independent_families'
+  WHEN (said = 6 AND kinds = 1) OR (said < 6 AND voters >= 2 AND voter_kinds = 1) OR (said < 6 AND voters < 2 AND kinds = 1) THEN 'strict_cross_family_consensus' WHEN best >= 5 THEN 'dominant_cross_family_cluster' ELSE 'no_reliable_consensus' END AS reason FROM z""")
+def classify_v2_answers(spark, sf):
+    d = _answers(spark, sf).withColumns({"broken": F.lit(False), "speech_ratio": F.lit(None).cast("double"), "vad_edge_risk": F.lit(None).cast("boolean"), "overlap_risk": F.lit(False), "has_speech": F.lit(None).cast("boolean")})
+    return classify.classify_v2(d, FAMILIES.runs).select("id", "reason")
