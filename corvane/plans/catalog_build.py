@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corvane.operators import building, classify, consensus, dataset, evidence, five_class, reports, routes
+from corvane.functions import text
+from corvane.operators import building, classify, consensus, dataset, evidence, five_class, reports, routes, semantics
 from corvane.plans.catalog import _DOCS_SQL, _SCORED_SQL, _TURNS_SQL, FAMILIES, _scored, _unit_sql, documents, query, turn_routes
 from corvane.runtime import table
 
@@ -424,3 +425,27 @@ def classify_v1_answers(spark, sf):
 def classify_v2_answers(spark, sf):
     d = _answers(spark, sf).withColumns({"broken": F.lit(False), "speech_ratio": F.lit(None).cast("double"), "vad_edge_risk": F.lit(None).cast("boolean"), "overlap_risk": F.lit(False), "has_speech": F.lit(None).cast("boolean")})
     return classify.classify_v2(d, FAMILIES.runs).select("id", "reason")
+
+
+#: Short answers, one for each act; the last is the turn's own text with a time and an amount behind it.
+_SHORT = ["", "转至语音信箱", "他不在", "我不需要", "回头再打", "你是谁", "你说", "嗯", "需要", "你好", "我同意"]
+_ACTS_SQL = _TURNS_SQL + """, k AS (SELECT id, (conv_id * 5 + turn) % 12 AS k FROM turns), a AS (SELECT id, k, ['empty', 'voicemail', 'absence', 'refusal', 'callback', 'identity_inquiry', 'continue_listening', 'brief_response', 'affirmation_undetermined', 'greeting', 'acceptance', 'unknown'][k + 1] AS act FROM k)"""
+
+
+@query("business_answers", f"""WITH {_ACTS_SQL} SELECT id, act, CASE act WHEN 'empty' THEN 'none' WHEN 'voicemail' THEN 'mailbox_prompt' WHEN 'absence' THEN 'third_party_unavailable' WHEN 'refusal' THEN 'decline_offer' WHEN 'callback' THEN 'defer_contact' WHEN 'identity_inquiry' THEN 'ask_identity' WHEN 'continue_listening' THEN 'yield_floor'
+    WHEN 'brief_response' THEN 'backchannel' WHEN 'affirmation_undetermined' THEN 'possible_assent' WHEN 'greeting' THEN 'greeting' WHEN 'acceptance' THEN 'stated_assent' ELSE 'unknown' END AS intent,
+  CASE WHEN act = 'refusal' THEN 'negative' WHEN act IN ('affirmation_undetermined', 'acceptance') THEN 'positive' WHEN act = 'unknown' THEN 'unknown' ELSE 'neutral' END AS polarity, CASE WHEN act = 'empty' THEN 'none' WHEN act = 'voicemail' THEN 'system' WHEN act = 'absence' THEN 'third_party' WHEN act = 'continue_listening' THEN 'other' WHEN act IN ('refusal', 'acceptance') THEN 'caller' ELSE 'unspecified' END AS subject,
+  CASE WHEN act = 'unknown' THEN 'amount:100元,time:三点,time:明天' ELSE '' END AS slots, CASE act WHEN 'empty' THEN 'none' WHEN 'voicemail' THEN 'none' WHEN 'absence' THEN 'none' WHEN 'refusal' THEN 'stated_refusal' WHEN 'unknown' THEN 'unknown' ELSE 'undetermined' END AS commitment FROM a""")
+def business_answers(spark, sf):
+    d, k = turn_routes(spark, sf), (F.col("conv_id") * 5 + F.col("turn")) % 12
+    said = F.coalesce(*[F.when(k == i, t) for i, t in enumerate(_SHORT)], F.concat("kimi_1", F.lit("明天三点100元")))
+    f = d.select("id", semantics.business_fields(said).alias("f"))
+    return f.select("id", "f.act", "f.intent", "f.polarity", "f.subject", F.array_join("f.slots", ",").alias("slots"), "f.commitment")
+
+
+@query("speech_language_answers", f"""WITH {_TURNS_SQL} SELECT id, CASE conv_id % 4 WHEN 0 THEN 'zh' WHEN 1 THEN 'zh' ELSE CASE WHEN regexp_matches(t, '[a-z]') THEN 'en' ELSE 'unknown' END END AS language FROM turns WHERE conv_id % 4 < 2 OR regexp_matches(t, '[a-z]')""")
+def speech_language_answers(spark, sf):
+    """Languages by shares over Chinese answers with a short Latin part, and over the turns' own texts."""
+    d, c = turn_routes(spark, sf).where("conv_id % 4 < 2 or kimi_1 rlike '[a-z]'"), F.col("conv_id") % 4
+    said = F.when(c == 0, "我们明天下午在公司见面").when(c == 1, "请打开这个网络的wifi现在连接一下好吗谢谢了").otherwise(F.col("kimi_1"))
+    return d.select("id", text.detect_language(said).alias("language"))
