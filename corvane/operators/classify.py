@@ -232,17 +232,29 @@ def speech_rate(samples: DataFrame, most: float = 25.0, chars: int = 80) -> Data
     return samples.withColumn("fast", F.transform(fast, lambda r: r["run_id"]))
 
 
-def classify_v3(gathered: DataFrame, families: Families, voicemail: str | None = None, high: float = 0.98, medium: float = 0.95, medium_families: int = 3) -> DataFrame:
+def classify_v3(gathered: DataFrame, families: Families, voicemail: str | None = None, high: float = 0.98, medium: float = 0.95, medium_families: int = 3, quarantine: bool = False, least_families: int = 3) -> DataFrame:
     """Adds the v3 outcome to samples with gathered routes.
 
+    A route that speaks faster than people do excludes the sample; with
+    ``quarantine`` it only loses its vote, as if it had failed: a family that is
+    incomplete for that alone does not hold the sample up, unless fewer than
+    ``least_families`` remain, which asks for a retry of the routes.
+
     ``gathered`` has id, duration, broken, routes, and nullable noise_band,
     noise_risk, dnsmos_status, crosstalk, governance_hold. Adds type, decision,
     reason, review_priority, review_queue, disposition, risk_tags, polarity,
     candidate_text, support_families, min_similarity.
     """
     c, n_fam = F.col, len(families.ordered())
-    d = speech_rate(gathered).withColumn("short", consensus.is_short(c("duration"), c("routes")))
+    d = speech_rate(gathered)
+    if quarantine:
+        mute = lambda r: F.when(F.array_contains("fast", r["run_id"]), r.withField("status", F.lit("failed")).withField("comparison_text", F.lit(""))).otherwise(r)
+        d = d.withColumn("_routes", c("routes")).withColumn("routes", F.transform("routes", mute))
+    d = d.withColumn("short", consensus.is_short(c("duration"), c("routes")))
     d = consensus.family_states(d, families, high)
+    # families that lack a run for another reason than its speed
+    lacking = F.filter("routes", lambda r: r["status"].isin("failed", "missing") & ~(F.lit(quarantine) & F.array_contains("fast", r["run_id"])))
+    active = F.size(F.filter("families", lambda f: f["status"] != "incomplete"))
     d = d.withColumn("texts", F.transform(consensus.spoken(c("routes")), lambda r: r["comparison_text"]))
     for name, at, only in (("teach", high, families.teaching()), ("full", high, None), ("part", medium, None)):
         d = consensus.with_consensus(d, at, name, families, only)
@@ -251,7 +263,7 @@ def classify_v3(gathered: DataFrame, families: Families, voicemail: str | None =
     pol = F.transform("texts", consensus.polarity_of)
     clear = F.array_distinct(F.filter(pol, lambda p: p.isin("positive", "negative")))
     d = d.withColumns({
-        "unstable": state("unstable_presence", "unstable_semantic", "unstable_text"), "incomplete": state("incomplete"), "presence": (empty_n > 0) & (F.size("texts") > 0),
+        "unstable": state("unstable_presence", "unstable_semantic", "unstable_text"), "incomplete": F.size(lacking) > 0, "active": active, "presence": (empty_n > 0) & (F.size("texts") > 0),
         "polarity": F.when(F.size(pol) == 0, "unknown").when(F.array_contains(pol, "mixed") | (F.size(clear) > 1), "mixed").when(F.size(clear) == 1, F.get(clear, F.lit(0))).when(F.array_contains(pol, "unknown"), "unknown").otherwise("neutral"),
         "noisy": F.coalesce(c("noise_band") == "noisy", F.lit(False)) | F.coalesce(c("noise_risk"), F.lit(False)),
         "quality_unknown": F.coalesce(c("noise_band"), F.lit("unknown")).isin("unknown") | F.coalesce(c("dnsmos_status"), F.lit("failed")).isin("failed", "unsupported") | c("noise_risk").isNull(),
@@ -263,7 +275,8 @@ def classify_v3(gathered: DataFrame, families: Families, voicemail: str | None =
         F.when(c("presence"), "presence_conflict"), F.when(c("short"), "short_utterance_risk"), F.when(c("noisy"), "noisy_audio"), F.when(c("quality_unknown") & ~c("noisy"), "quality_unknown"),
         F.when(F.coalesce(c("crosstalk"), F.lit(False)), "crosstalk_suspected"), F.when(c("unstable"), "family_instability"), F.when((c("polarity") == "mixed") & c("same_text") & F.array_contains(pol, "mixed"), "content_complexity"),
     )
-    d = d.withColumn("risk_tags", F.array_sort(F.array_union(consensus.conflict_tags(c("texts")), F.array_compact(extra))))
+    rate = F.array_compact(F.array(F.when(F.lit(quarantine) & (F.size("fast") > 0), "implausible_speech_rate")))
+    d = d.withColumn("risk_tags", F.array_sort(F.array_union(F.array_union(consensus.conflict_tags(c("texts")), F.array_compact(extra)), rate)))
     tag = lambda t: F.array_contains("risk_tags", t)
     critical = tag("critical_token_conflict") | ((c("polarity") == "mixed") & ~c("same_text"))
     semantic = F.arrays_overlap("risk_tags", F.array(*[F.lit(t) for t in consensus.SEMANTIC_TAGS]))
@@ -280,7 +293,8 @@ def classify_v3(gathered: DataFrame, families: Families, voicemail: str | None =
     d = d.withColumns({"critical_risk": critical, "semantic_risk": semantic})
     d = chain(d, [
         Rule(c("broken") | (c("duration") <= 0), "invalid_audio", "exclude", "broken_or_invalid_audio"),
-        Rule(F.size("fast") > 0, "implausible_speech_rate", "exclude", "chars_per_sec_exceeds_human_speech"),
+        Rule((F.size("fast") > 0) & F.lit(quarantine) & (c("active") < least_families), "route_quarantine", "retry", "implausible_routes_quarantined_insufficient_families"),
+        Rule((F.size("fast") > 0) & F.lit(not quarantine), "implausible_speech_rate", "exclude", "chars_per_sec_exceeds_human_speech"),
         Rule(c("incomplete"), "inference_incomplete", "retry", "configured_runs_incomplete"),
         Rule(c("semantic_risk"), "semantic_risk", "manual_review", "semantic_risk_tags"),
         Rule(c("critical_risk"), "critical_content_risk", "manual_review", "critical_token_or_mixed_polarity"),
@@ -305,6 +319,8 @@ def classify_v3(gathered: DataFrame, families: Families, voicemail: str | None =
         "support_families": F.when(c("type") == "pseudo_high", c("full")["families"]).when(c("type") == "pseudo_medium", c("part")["families"]),
         "min_similarity": F.when(c("type") == "pseudo_high", c("agree")["min_similarity"]).when(c("type") == "pseudo_medium", c("part")["min_similarity"]),
     })
+    if quarantine:
+        d = d.withColumn("disposition", F.when((F.size("fast") > 0) & (c("disposition") == "audio_exclude"), "route_quarantine").otherwise(c("disposition"))).withColumn("routes", c("_routes"))
     return d.select(*gathered.columns, "type", "decision", "reason", "review_priority", "review_queue", "disposition", "risk_tags", "polarity", "candidate_text", "support_families", "min_similarity")
 
 

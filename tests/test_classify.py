@@ -86,3 +86,17 @@ def test_external_and_cliques(spark):
     t, f = F.lit(True), F.lit(False)
     c = consensus.max_cliques(["a", "b", "c"], {("a", "b"): t, ("a", "c"): f, ("b", "c"): t})
     assert spark.range(1).select(c.alias("c")).first()["c"] == [["a", "b"], ["b", "c"]]
+
+
+def test_v3_route_quarantine(spark):
+    fast = "一二三四五六七八九十" * 30
+    cases = {"one": six(fast, LONG, LONG, LONG, LONG, LONG), "two": six(fast, fast, fast, fast, LONG, LONG), "failed": six(fast, LONG, (None, "failed"), LONG, LONG, LONG), "none": six(*[LONG] * 6)}
+    d = gathered(spark, cases)
+    plain = {r["id"]: (r["type"], r["disposition"]) for r in classify.classify_v3(d, FAM).collect()}
+    assert plain["one"] == plain["two"] == ("implausible_speech_rate", "audio_exclude") and plain["none"][0] == "pseudo_high"
+    got = {r["id"]: r for r in classify.classify_v3(d, FAM, quarantine=True, least_families=2).collect()}
+    assert {k: (r["type"], r["disposition"]) for k, r in got.items()} == {"one": ("hardcase", "human_blind"), "two": ("route_quarantine", "route_quarantine"), "failed": ("route_quarantine", "route_quarantine"), "none": ("pseudo_high", "pseudo_pending_audit")}
+    few = {r["id"]: (r["type"], r["disposition"]) for r in classify.classify_v3(d, FAM, quarantine=True, least_families=1).collect()}
+    assert few["failed"] == ("inference_incomplete", "route_quarantine") and few["two"][0] != "route_quarantine"
+    assert "implausible_speech_rate" in got["one"]["risk_tags"] and "implausible_speech_rate" not in got["none"]["risk_tags"]
+    assert {x["comparison_text"] for x in got["one"]["routes"]} == {fast, LONG} and got["two"]["review_queue"] == "retry"
