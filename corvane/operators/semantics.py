@@ -29,6 +29,13 @@ SHORT_REFUSAL = ["没有", "没有了", "没有没有", "没有没有没有", "
 REFUSAL_START = ["没有了谢谢", "没有谢谢", "没有没有", "暂时没有", "啊没有"]
 ACCEPT = ["我同意", "同意办理", "可以办理", "帮我办理"]
 AFFIRM, FILL = ["办理", "同意", "需要", "可以", "好的", "好"], ["嗯", "啊", "哦", "呃", "唔"]
+# Edges that ask to go on, single words that refuse, marks of an inquiry, of attendance and of a question with "not", openers of greetings.
+GO_ON, BARE_REFUSAL, WHO, NOT_GOING, HAVE_OR_NOT, HELLO, OPENERS = ["你说", "你讲", "请说"], ["不", "没", "别"], "谁", "不去", "有没有", "你好", "喂哎诶嗨啊哦"
+# The state of a dialogue after an act.
+DIALOGUE = {
+    "empty": "no_speech_text", "voicemail": "automated_prompt", "absence": "party_unavailable", "refusal": "closed", "callback": "deferred", "identity_inquiry": "opening",
+    "continue_listening": "listen", "brief_response": "listen", "affirmation_undetermined": "listen", "greeting": "opening", "acceptance": "open",
+}
 # Abbreviations that are not foreign speech.
 ABBREVIATIONS = ["AI", "APP", "ATM", "CPU", "GPS", "ID", "LCD", "LED", "NFC", "PDF", "POS", "QR", "SIM", "SMS", "TV", "URL", "USB", "VIP", "WIFI"]
 
@@ -69,15 +76,15 @@ def polarity_conflict(a: Column, b: Column) -> Column:
 
 
 def business_fields(c: Column, unicode: bool = True) -> Column:
-    """struct(act, intent, polarity, subject, slots, next_action, commitment) of a short answer, by the first act that fits."""
+    """struct(act, intent, polarity, negation_scope, subject, slots, dialogue_state, next_action, commitment, evidence) of a short answer, by the first act that fits."""
 
     def of(b):
-        short_no = b.isin(SHORT_REFUSAL) | (~F.contains(b, F.lit("有没有")) & b.rlike(f"^(?:{text.phrase_pattern(REFUSAL_START)})") & (F.length(b) <= 12))
-        asks = _any(b, IDENTITY) | ((F.length(b) <= 10) & F.contains(b, F.lit("谁")))
-        go_on = (b.isin(CONTINUE) | b.rlike("^(?:你说|你讲|请说)|(?:你说|你讲|请说)$")) & ~b.rlike("[不没]")
-        greets = b.isin(GREETING) | (~b.rlike("[谁哪]") & F.contains(b, F.lit("你好")) & (F.length(b) <= 8) & b.rlike("^[喂哎诶嗨啊哦]"))
+        short_no = b.isin(SHORT_REFUSAL) | (~F.contains(b, F.lit(HAVE_OR_NOT)) & b.rlike(f"^(?:{text.phrase_pattern(REFUSAL_START)})") & (F.length(b) <= 12))
+        asks = _any(b, IDENTITY) | ((F.length(b) <= 10) & F.contains(b, F.lit(WHO)))
+        go_on = (b.isin(CONTINUE) | b.rlike(f"^(?:{text.phrase_pattern(GO_ON)})|(?:{text.phrase_pattern(GO_ON)})$")) & ~b.rlike("[不没]")
+        greets = b.isin(GREETING) | (~b.rlike("[谁哪]") & F.contains(b, F.lit(HELLO)) & (F.length(b) <= 8) & b.rlike(f"^[{OPENERS}]"))
         act = (
-            F.when(b == "", "empty").when(_any(b, VOICEMAIL), "voicemail").when(_any(b, ABSENCE), "absence").when(short_no | _any(b, REFUSAL) | b.isin("不", "没", "别"), "refusal").when(_any(b, CALLBACK), "callback").when(asks, "identity_inquiry")
+            F.when(b == "", "empty").when(_any(b, VOICEMAIL), "voicemail").when(_any(b, ABSENCE), "absence").when(short_no | _any(b, REFUSAL) | b.isin(*BARE_REFUSAL), "refusal").when(_any(b, CALLBACK), "callback").when(asks, "identity_inquiry")
             .when(go_on, "continue_listening").when(b.isin(BRIEF), "brief_response").when(b.isin(BARE_AFFIRM), "affirmation_undetermined").when(greets, "greeting").when(_any(b, ACCEPT), "acceptance").otherwise("unknown")
         )
         who = F.when(b.rlike("^[他她]"), "third_party").when(F.startswith(b, F.lit("我")), "caller").otherwise("unspecified")
@@ -90,11 +97,12 @@ def business_fields(c: Column, unicode: bool = True) -> Column:
         def rest(a):
             return F.struct(
                 a.alias("act"),
-                F.when((a == "refusal") & F.contains(b, F.lit("不去")), "decline_attendance").otherwise(pick(a, {"empty": "none", "voicemail": "mailbox_prompt", "absence": "third_party_unavailable", "refusal": "decline_offer", "callback": "defer_contact", "identity_inquiry": "ask_identity", "continue_listening": "yield_floor", "brief_response": "backchannel", "affirmation_undetermined": "possible_assent", "greeting": "greeting", "acceptance": "stated_assent"}, F.lit("unknown"))).alias("intent"),
+                F.when((a == "refusal") & F.contains(b, F.lit(NOT_GOING)), "decline_attendance").otherwise(pick(a, {"empty": "none", "voicemail": "mailbox_prompt", "absence": "third_party_unavailable", "refusal": "decline_offer", "callback": "defer_contact", "identity_inquiry": "ask_identity", "continue_listening": "yield_floor", "brief_response": "backchannel", "affirmation_undetermined": "possible_assent", "greeting": "greeting", "acceptance": "stated_assent"}, F.lit("unknown"))).alias("intent"),
                 F.when(a == "refusal", "negative").when(a.isin("affirmation_undetermined", "acceptance"), "positive").when(a == "unknown", "unknown").otherwise("neutral").alias("polarity"),
-                pick(a, {"empty": "none", "voicemail": "system", "absence": "third_party", "continue_listening": "other", "brief_response": "unspecified"}, who).alias("subject"), slots.alias("slots"),
+                pick(a, {"refusal": "predicate", "unknown": "unknown"}, F.lit("none")).alias("negation_scope"),
+                pick(a, {"empty": "none", "voicemail": "system", "absence": "third_party", "continue_listening": "other", "brief_response": "unspecified"}, who).alias("subject"), slots.alias("slots"), pick(a, DIALOGUE, F.lit("unknown")).alias("dialogue_state"),
                 pick(a, {"empty": "none", "voicemail": "leave_message", "absence": "no_commitment", "refusal": "stop_or_decline", "callback": "call_later", "identity_inquiry": "identify_caller", "continue_listening": "yield_floor", "unknown": "unknown"}, F.lit("undetermined")).alias("next_action"),
-                pick(a, {"empty": "none", "voicemail": "none", "absence": "none", "refusal": "stated_refusal", "unknown": "unknown"}, F.lit("undetermined")).alias("commitment"),
+                pick(a, {"empty": "none", "voicemail": "none", "absence": "none", "refusal": "stated_refusal", "unknown": "unknown"}, F.lit("undetermined")).alias("commitment"), F.substring(b, 1, 24).alias("evidence"),
             )
 
         return let(act, rest)

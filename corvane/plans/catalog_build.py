@@ -435,12 +435,14 @@ _ACTS_SQL = _TURNS_SQL + """, k AS (SELECT id, (conv_id * 5 + turn) % 12 AS k FR
 @query("business_answers", f"""WITH {_ACTS_SQL} SELECT id, act, CASE act WHEN 'empty' THEN 'none' WHEN 'voicemail' THEN 'mailbox_prompt' WHEN 'absence' THEN 'third_party_unavailable' WHEN 'refusal' THEN 'decline_offer' WHEN 'callback' THEN 'defer_contact' WHEN 'identity_inquiry' THEN 'ask_identity' WHEN 'continue_listening' THEN 'yield_floor'
     WHEN 'brief_response' THEN 'backchannel' WHEN 'affirmation_undetermined' THEN 'possible_assent' WHEN 'greeting' THEN 'greeting' WHEN 'acceptance' THEN 'stated_assent' ELSE 'unknown' END AS intent,
   CASE WHEN act = 'refusal' THEN 'negative' WHEN act IN ('affirmation_undetermined', 'acceptance') THEN 'positive' WHEN act = 'unknown' THEN 'unknown' ELSE 'neutral' END AS polarity, CASE WHEN act = 'empty' THEN 'none' WHEN act = 'voicemail' THEN 'system' WHEN act = 'absence' THEN 'third_party' WHEN act = 'continue_listening' THEN 'other' WHEN act IN ('refusal', 'acceptance') THEN 'caller' ELSE 'unspecified' END AS subject,
-  CASE WHEN act = 'unknown' THEN 'amount:100元,time:三点,time:明天' ELSE '' END AS slots, CASE act WHEN 'empty' THEN 'none' WHEN 'voicemail' THEN 'none' WHEN 'absence' THEN 'none' WHEN 'refusal' THEN 'stated_refusal' WHEN 'unknown' THEN 'unknown' ELSE 'undetermined' END AS commitment FROM a""")
+  CASE WHEN act = 'unknown' THEN 'amount:100元,time:三点,time:明天' ELSE '' END AS slots, CASE act WHEN 'empty' THEN 'none' WHEN 'voicemail' THEN 'none' WHEN 'absence' THEN 'none' WHEN 'refusal' THEN 'stated_refusal' WHEN 'unknown' THEN 'unknown' ELSE 'undetermined' END AS commitment,
+  CASE act WHEN 'refusal' THEN 'predicate' WHEN 'unknown' THEN 'unknown' ELSE 'none' END AS negation_scope, CASE act WHEN 'empty' THEN 'no_speech_text' WHEN 'voicemail' THEN 'automated_prompt' WHEN 'absence' THEN 'party_unavailable' WHEN 'refusal' THEN 'closed' WHEN 'callback' THEN 'deferred' WHEN 'identity_inquiry' THEN 'opening'
+    WHEN 'greeting' THEN 'opening' WHEN 'acceptance' THEN 'open' WHEN 'unknown' THEN 'unknown' ELSE 'listen' END AS dialogue_state FROM a""")
 def business_answers(spark, sf):
     d, k = turn_routes(spark, sf), (F.col("conv_id") * 5 + F.col("turn")) % 12
     said = F.coalesce(*[F.when(k == i, t) for i, t in enumerate(_SHORT)], F.concat("kimi_1", F.lit("明天三点100元")))
     f = d.select("id", semantics.business_fields(said).alias("f"))
-    return f.select("id", "f.act", "f.intent", "f.polarity", "f.subject", F.array_join("f.slots", ",").alias("slots"), "f.commitment")
+    return f.select("id", "f.act", "f.intent", "f.polarity", "f.subject", F.array_join("f.slots", ",").alias("slots"), "f.commitment", "f.negation_scope", "f.dialogue_state")
 
 
 @query("speech_language_answers", f"""WITH {_TURNS_SQL} SELECT id, CASE conv_id % 4 WHEN 0 THEN 'zh' WHEN 1 THEN 'zh' ELSE CASE WHEN regexp_matches(t, '[a-z]') THEN 'en' ELSE 'unknown' END END AS language FROM turns WHERE conv_id % 4 < 2 OR regexp_matches(t, '[a-z]')""")
