@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corvane.functions import text
-from corvane.operators import building, classify, consensus, dataset, evidence, five_class, reports, routes, semantics
-from corvane.plans.catalog import _DOCS_SQL, _SCORED_SQL, _TURNS_SQL, FAMILIES, _scored, _unit_sql, documents, query, turn_routes
+from corvane.operators import building, classify, consensus, dataset, evidence, five_class, metrics, relational, reports, routes, semantics
+from corvane.plans.catalog import _DOCS_SQL, _FACTS_SQL, _SCORED_SQL, _TURNS_SQL, FAMILIES, _facts, _rates, _scored, _unit_sql, documents, query, turn_routes
 from corvane.runtime import table
 
 _EVAL_SQL = _SCORED_SQL + """, e AS (SELECT *, split_part(id, '-', 1)::BIGINT AS c, split_part(id, '-', 2)::BIGINT AS t FROM s),
@@ -451,3 +451,88 @@ def speech_language_answers(spark, sf):
     d, c = turn_routes(spark, sf).where("conv_id % 4 < 2 or kimi_1 rlike '[a-z]'"), F.col("conv_id") % 4
     said = F.when(c == 0, "我们明天下午在公司见面").when(c == 1, "请打开这个网络的wifi现在连接一下好吗谢谢了").otherwise(F.col("kimi_1"))
     return d.select("id", text.detect_language(said).alias("language"))
+
+
+# --- text forms, measures and gates over values in which each outcome occurs ----------
+
+_FORM_SQL = _TURNS_SQL + """, k AS (SELECT id, t, (conv_id + turn) % 6 AS k FROM turns), s AS (SELECT id, CASE k WHEN 0 THEN '您現在需要嗎' WHEN 1 THEN '對啊' WHEN 2 THEN '啊' WHEN 3 THEN '<|zh|><|HAPPY|>电话' || t WHEN 4 THEN '請問時間呢' ELSE t END AS s, k FROM k)"""
+
+
+@query("text_forms", f"""WITH {_FORM_SQL}, f AS (SELECT id, s, k, translate(s, '現麼嗎為這個後對說話請問時間電', '现么吗为这个后对说话请问时间电') AS sim FROM s), g AS (SELECT *, replace(sim, '您', '你') AS you FROM f)
+  SELECT id, sim AS simplified, regexp_replace(you, '^(.+)[啊呀呢]$', '\\1', 's') AS tolerant, CASE k WHEN 0 THEN 6 WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 3 THEN 2 WHEN 4 THEN 5 ELSE 0 END AS han, CASE WHEN k IN (0, 1, 4) THEN 'zh-Hant' WHEN k IN (2, 3) THEN 'zh-Hans' ELSE '' END AS script,
+  CASE WHEN k = 3 THEN 'zh,HAPPY' ELSE '' END AS tags, trim(CASE WHEN k = 3 THEN substr(s, 16) ELSE s END) AS body FROM g""")
+def text_forms(spark, sf):
+    d, k = turn_routes(spark, sf), (F.col("conv_id") + F.col("turn")) % 6
+    s = F.when(k == 0, "您現在需要嗎").when(k == 1, "對啊").when(k == 2, "啊").when(k == 3, F.concat(F.lit("<|zh|><|HAPPY|>电话"), "kimi_1")).when(k == 4, "請問時間呢").otherwise(F.col("kimi_1"))
+    d = d.withColumn("s", s)
+    c = F.col("s")
+    tags = text.split_tags(c)
+    return d.select("id", text.to_simplified(c).alias("simplified"), text.tolerance_key(text.to_simplified(c)).alias("tolerant"), text.han_chars(c).alias("han"), text.detect_script(c).alias("script"), F.array_join(tags["tags"], ",").alias("tags"), tags["text"].alias("body"))
+
+
+@query("energy_states", f"""WITH {_DOCS_SQL}, v AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE n_chars END AS ms, -70 + doc_id % 40 AS rms, -60 + doc_id % 50 AS peak, (n_chars % 10) / 100.0 AS share FROM docs)
+  SELECT doc_id, CASE WHEN ms IS NULL THEN 'failed' WHEN ms < 300 THEN 'audio_too_short' WHEN rms >= -47 AND peak >= -37 AND share >= 0.02 THEN 'audible' WHEN (rms < -53 AND peak < -43) OR share = 0 THEN 'inaudible' ELSE 'borderline' END AS energy FROM v""")
+def energy_states(spark, sf):
+    d, i = documents(spark, sf), F.col("doc_id")
+    ms = F.when(i % 11 == 0, None).otherwise(F.col("n_chars"))
+    return d.select("doc_id", classify.energy_state(ms, -70 + i % 40, -60 + i % 50, F.col("n_chars") % 10 / 100.0).alias("energy"))
+
+
+@query("dnsmos_states", f"""WITH {_DOCS_SQL}, v AS (SELECT doc_id, 2.5 + doc_id % 15 / 10.0 AS bak, 2.5 + n_chars % 10 / 10.0 AS ovrl, CASE WHEN doc_id % 6 > 0 THEN 2.5 + n_chars % 13 / 10.0 END AS sig, CASE WHEN doc_id % 8 = 0 THEN 'failed' ELSE 'success' END AS st FROM docs)
+  SELECT doc_id, CASE WHEN st = 'failed' THEN 'unavailable' WHEN bak < 3.0 OR ovrl < 2.8 THEN 'noisy' WHEN bak >= 3.5 AND ovrl >= 3.2 THEN 'clean' ELSE 'moderate' END AS noise, CASE WHEN st = 'failed' OR sig IS NULL THEN 'unavailable' WHEN sig >= 3.5 THEN 'strong' WHEN sig <= 2.8 THEN 'weak' ELSE 'unknown' END AS speech FROM v""")
+def dnsmos_states(spark, sf):
+    d, i, n = documents(spark, sf), F.col("doc_id"), F.col("n_chars")
+    tenth = lambda c: F.lit(2.5).cast("decimal(10,1)") + (c / 10).cast("decimal(10,1)")
+    x = classify.dnsmos_states(tenth(i % 15), tenth(n % 10), F.when(i % 6 > 0, tenth(n % 13)), F.when(i % 8 == 0, "failed").otherwise("success"))
+    return d.select("doc_id", x["noise"].alias("noise"), x["speech"].alias("speech"))
+
+
+@query("quality_states", f"""WITH {_DOCS_SQL}, v AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'noisy' WHEN 1 THEN 'clean' WHEN 2 THEN 'moderate' END AS band, CASE n_chars % 3 WHEN 0 THEN true WHEN 1 THEN false END AS risk, CASE doc_id % 5 WHEN 0 THEN 'failed' WHEN 1 THEN 'unsupported' WHEN 2 THEN NULL ELSE 'success' END AS st, n_chars % 7 <> 0 AS cal FROM docs)
+  SELECT doc_id, CASE WHEN st IN ('failed', 'unsupported') THEN st WHEN st IS NULL THEN 'not_scored' WHEN NOT cal THEN 'uncalibrated' WHEN coalesce(band = 'noisy', false) OR coalesce(risk, false) THEN 'scored_noisy' ELSE 'scored_ok' END AS state FROM v""")
+def quality_states(spark, sf):
+    d, i, n = documents(spark, sf), F.col("doc_id"), F.col("n_chars")
+    band, risk = F.when(i % 4 == 0, "noisy").when(i % 4 == 1, "clean").when(i % 4 == 2, "moderate"), F.when(n % 3 == 0, True).when(n % 3 == 1, False)
+    status = F.when(i % 5 == 0, "failed").when(i % 5 == 1, "unsupported").when(i % 5 == 2, None).otherwise("success")
+    return d.select("doc_id", classify.quality_state(band, risk, status, n % 7 != 0).alias("state"))
+
+
+@query("formal_gold", f"""WITH {_DOCS_SQL}, v AS (SELECT doc_id, quality = 1 AS ver, CASE doc_id % 3 WHEN 0 THEN 'second_review' WHEN 1 THEN 'adjudicated' ELSE 'annotated' END AS st, CASE WHEN n_chars % 4 = 0 THEN '' WHEN n_chars % 4 < 3 THEN 'x' END AS gold, CASE WHEN toxic = 1 THEN 'non_speech' ELSE 'speech' END AS kind,
+  'p1' AS a, CASE WHEN doc_id % 5 = 0 THEN 'p1' ELSE 'p2' END AS b, CASE WHEN n_chars % 2 = 0 THEN 'p3' END AS c FROM docs)
+  SELECT doc_id, coalesce(ver, false) AND st <> 'annotated' AND gold IS NOT NULL AND (kind = 'speech') = (gold <> '') AND a <> b AND (st <> 'adjudicated' OR c IS NOT NULL) AS formal FROM v""")
+def formal_gold(spark, sf):
+    d, i, n = documents(spark, sf), F.col("doc_id"), F.col("n_chars")
+    cols = {
+        "verified": F.col("quality") == 1, "state": F.when(i % 3 == 0, "second_review").when(i % 3 == 1, "adjudicated").otherwise("annotated"), "gold_text": F.when(n % 4 == 0, "").when(n % 4 < 3, "x"), "kind": F.when(F.col("toxic") == 1, "non_speech").otherwise("speech"),
+        "annotator": F.lit("p1"), "reviewer": F.when(i % 5 == 0, "p1").otherwise("p2"), "adjudicator": F.when(n % 2 == 0, "p3"),
+    }
+    return d.select("doc_id", F.coalesce(dataset.formal_gold(cols), F.lit(False)).alias("formal"))
+
+
+@query("regression_gates", f"""WITH {_SCORED_SQL}, c AS (SELECT type AS bucket, sum(d) FILTER (model = 'glm') / greatest(sum(n) FILTER (model = 'glm'), 1) AS b, sum(d) FILTER (model = 'qwen') / greatest(sum(n) FILTER (model = 'qwen'), 1) AS q FROM s GROUP BY type),
+  t AS (SELECT * FROM (VALUES ('user', 1.0), ('assistant', 0.0), ('nobody', 0.0)) v(bucket, threshold)) SELECT bucket, round(q - b, 9) AS delta, threshold::DOUBLE AS threshold, CASE WHEN b IS NULL THEN 'skipped' WHEN q - b <= threshold THEN 'pass' ELSE 'fail' END AS state FROM t LEFT JOIN c USING (bucket)""")
+def regression_gates(spark, sf):
+    rows = _scored(spark, sf)
+    side = lambda m: metrics.corpus(rows.where(F.col("model") == m), "type").withColumnRenamed("type", "bucket")
+    return metrics.regression_gate(side("glm"), side("qwen"), {"user": 1.0, "assistant": 0.0, "nobody": 0.0}).withColumn("delta", F.round("delta", 9))
+
+
+@query("wilson_gate", f"""WITH {_DOCS_SQL}, g AS (SELECT lang AS layer, source, max((quality = 0)::INT) AS bad, max((toxic = 1)::INT) AS crit FROM docs WHERE quality IS NOT NULL GROUP BY 1, 2), a AS (SELECT coalesce(layer, 'all') AS layer, grouping(layer) AS whole, count(*) AS n, sum(bad)::BIGINT AS k, sum(crit)::BIGINT AS critical FROM g GROUP BY GROUPING SETS ((layer), ())),
+  w AS (SELECT *, least((k / n + 3.8416 / (2 * n)) / (1 + 3.8416 / n) + 1.96 * sqrt((k / n) * (1 - k / n) / n + 3.8416 / (4 * n * n)) / (1 + 3.8416 / n), 1) AS upper FROM a)
+  SELECT layer, n AS groups, k AS errors, round(upper, 9) AS upper, critical, n >= CASE WHEN whole = 1 THEN 5 ELSE 2 END AND upper <= CASE WHEN whole = 1 THEN 0.9 ELSE 0.95 END AND critical = 0 AS passed FROM w""")
+def wilson_gate(spark, sf):
+    d = documents(spark, sf).where("quality is not null").withColumns({"bad": F.col("quality") == 0, "crit": F.col("toxic") == 1})
+    return metrics.wilson_gate(d, "lang", "bad", "source", "crit", 5, 0.9, 2, 0.95).withColumn("upper", F.round("upper", 9))
+
+
+@query("faer_answers", f"""WITH {_FACTS_SQL}, v AS (SELECT source, CASE id % 3 WHEN 0 THEN '嗯' WHEN 1 THEN '好的我知道' ELSE '哦' END AS gold, id % 4 = 0 AS neutral, kind <> 'non_speech' AS spoken, status <> 'failed' AS ok, pol = 'positive' AS hit FROM f), e AS (SELECT source, hit, neutral AND spoken AND ok AND gold IN ('嗯', '哦') AS elig FROM v)
+  SELECT source, count(*) FILTER (hit AND elig) AS numerator, count(*) FILTER (elig) AS denominator FROM e GROUP BY source""")
+def faer_answers(spark, sf):
+    d, i = _facts(spark, sf), F.col("id")
+    d = d.withColumns({"gold_text": F.when(i % 3 == 0, "嗯").when(i % 3 == 1, "好的我知道").otherwise("哦"), "semantic": F.when(i % 4 == 0, "neutral").otherwise("negative")})
+    return _rates(d, "source").where("metric = 'faer'").select("source", "numerator", "denominator")
+
+
+@query("manifest_totals", "SELECT count(*) AS files, round(sum(CASE WHEN doc_id % 5 > 0 THEN n_chars / 10.0 END) / 3600, 2) AS hours, count(*) FILTER (doc_id % 5 = 0 AND doc_id % 2 = 0) AS broken FROM documents")
+def manifest_totals(spark, sf):
+    d, i = table(spark, sf, "documents"), F.col("doc_id")
+    return relational.manifest_stats(d.select(F.when(i % 5 > 0, F.col("n_chars") / 10.0).alias("duration"), F.when(i % 2 == 0, "a/b.WAV").otherwise("a/b.txt").alias("source_path")))
