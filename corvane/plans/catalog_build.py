@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corvane.functions import text
+from corvane.functions import stats, text
 from corvane.operators import building, classify, consensus, dataset, evidence, five_class, metrics, relational, reports, routes, semantics
 from corvane.plans.catalog import _DOCS_SQL, _FACTS_SQL, _SCORED_SQL, _TURNS_SQL, FAMILIES, _facts, _rates, _scored, _unit_sql, documents, query, turn_routes
 from corvane.runtime import table
@@ -536,3 +536,48 @@ def faer_answers(spark, sf):
 def manifest_totals(spark, sf):
     d, i = table(spark, sf, "documents"), F.col("doc_id")
     return relational.manifest_stats(d.select(F.when(i % 5 > 0, F.col("n_chars") / 10.0).alias("duration"), F.when(i % 2 == 0, "a/b.WAV").otherwise("a/b.txt").alias("source_path")))
+
+
+_ENTRY = "struct<text:string,model:string,version:string,confidence:double,status:string,extra:map<string,string>>"
+
+
+@query("run_statuses", f"""WITH {_TURNS_SQL}, k AS (SELECT id, t, (conv_id + turn) % 9 AS k FROM turns)
+  SELECT id, CASE k WHEN 0 THEN 'missing' WHEN 1 THEN 'missing' WHEN 2 THEN 'success_empty' WHEN 3 THEN 'failed' WHEN 4 THEN 'missing' WHEN 5 THEN 'failed' WHEN 6 THEN 'success_empty' WHEN 7 THEN CASE WHEN trim(t) = '' THEN 'success_empty' ELSE 'success_text' END ELSE 'success_text' END AS status FROM k""")
+def run_statuses(spark, sf):
+    """Absent entry, null text, blank text, failed, pending, failed inside, blank raw text, text, raw text beside an empty one."""
+    d, k = turn_routes(spark, sf), (F.col("conv_id") + F.col("turn")) % 9
+    none = F.lit(None).cast("map<string,string>")
+    cell = lambda t, s=None, x=none: F.struct(t.cast("string").alias("text"), F.lit("m").alias("model"), F.lit(None).cast("string").alias("version"), F.lit(None).cast("double").alias("confidence"), F.lit(s).cast("string").alias("status"), x.alias("extra")).cast(_ENTRY)
+    inner = lambda n, v: F.create_map(F.lit(n), F.lit(v))
+    t = F.col("kimi_1")
+    entry = (
+        F.when(k == 1, cell(F.lit(None))).when(k == 2, cell(F.lit("  "))).when(k == 3, cell(t, "Failed")).when(k == 4, cell(t, " pending")).when(k == 5, cell(t, None, inner("inference_status", "error")))
+        .when(k == 6, cell(t, None, inner("raw_text", " "))).when(k == 7, cell(t)).when(k == 8, cell(F.lit(""), None, inner("raw_text", "said")))
+    )
+    return d.select("id", routes.run_status(entry).alias("status"))
+
+
+@query("attach_two_routes", f"WITH {_TURNS_SQL} SELECT id, CASE WHEN turn % 4 = 1 THEN NULL ELSE glm_1 END AS glm, CASE WHEN turn % 4 = 1 THEN 'missing' END AS glm_state, qwen_2 AS qwen FROM routes")
+def attach_two_routes(spark, sf):
+    """The N-way join: routes attached one after another, ids that lack a row get an explicit missing entry."""
+    d = turn_routes(spark, sf).withColumns({"sha256": F.sha2("kimi_1", 256), "errors": F.create_map().cast("map<string,string>")})
+    none = F.create_map().cast(f"map<string,{_ENTRY}>")
+    of = lambda m, c: F.create_map(F.lit(m), F.struct(F.col(c).alias("text"), F.lit(m).alias("model"), *[F.lit(None).cast(k).alias(n) for n, k in (("version", "string"), ("confidence", "double"), ("status", "string"), ("extra", "map<string,string>"))]).cast(_ENTRY))
+    base = d.select("id", "sha256", none.alias("transcripts"))
+    for m, c, rows in (("glm", "glm_1", d.where("turn % 4 <> 1")), ("qwen", "qwen_2", d)):
+        base = relational.attach_route(base, rows.select("id", "sha256", "errors", of(m, c).alias("transcripts")), m, m, "left" if m == "glm" else "exact")
+    get = lambda m, f: F.try_element_at("transcripts", F.lit(m))[f]
+    return base.select("id", get("glm", "text").alias("glm"), get("glm", "status").alias("glm_state"), get("qwen", "text").alias("qwen"))
+
+
+@query("small_forms", f"""WITH {_DOCS_SQL}, v AS (SELECT doc_id, 'dir/' || lang || '_' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.tar.wav' ELSE '' END AS path, CASE doc_id % 3 WHEN 0 THEN 'b, a,,b' WHEN 1 THEN 'y|x| ' ELSE ' one ' END AS tags, CASE WHEN doc_id % 4 = 0 THEN ' hot ' ELSE lang END AS word, quality FROM docs)
+  SELECT doc_id, lang || '_' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.tar' ELSE '' END AS stem, CASE doc_id % 3 WHEN 0 THEN 'a,b' WHEN 1 THEN 'x,y' ELSE 'one' END AS tags, CASE WHEN doc_id % 4 = 0 THEN '' ELSE word END AS word, 3 * (doc_id % 5) >= 2 * (n_chars % 6) AS enough, 'n' || doc_id AS id FROM v JOIN (SELECT doc_id, lang, n_chars FROM documents) USING (doc_id)""")
+def small_forms(spark, sf):
+    d, i = documents(spark, sf), F.col("doc_id")
+    path = F.concat(F.lit("dir/"), "lang", F.lit("_"), i.cast("string"), F.when(i % 2 == 0, ".tar.wav").otherwise(""))
+    tags = F.when(i % 3 == 0, "b, a,,b").when(i % 3 == 1, "y|x| ").otherwise(" one ")
+    word = F.when(i % 4 == 0, " hot ").otherwise(F.col("lang"))
+    return d.select(
+        "doc_id", text.audio_stem(path).alias("stem"), F.array_join(text.tag_list(tags), ",").alias("tags"), text.blank_exact(word, text.hotwords("cold/hot，x")).alias("word"),
+        stats.ratio_rule(i % 5, F.col("n_chars") % 6).alias("enough"), text.export_id(F.concat(F.lit("0123456789abcdef_n"), i.cast("string"))).alias("id"),
+    )
