@@ -92,8 +92,10 @@ def format_paths(paths: DataFrame, learn: str = "assistant") -> DataFrame:
     """Rows (tree, leaf, rank, formatted, loss): one conversation for each path.
 
     ``loss``: array of (start, stop) code points of ``formatted`` that are under
-    the loss mask, one for each text of the role ``learn``. Null roles and texts
-    are empty.
+    the loss mask, one for each text of the role ``learn``, in order. Null roles
+    and texts are empty, and an empty text has an empty span; a null tree is a
+    tree of its own. Of a path's messages at one depth (there is one) any order
+    serves. Texts are whole at any length. No paths give no rows.
     """
     head = F.concat(F.lit(START), _role(F.col("role")), F.lit("\n"))
     body = escape(F.col("text"))
@@ -106,7 +108,11 @@ def format_paths(paths: DataFrame, learn: str = "assistant") -> DataFrame:
 
 
 def read_formatted(formatted: DataFrame) -> DataFrame:
-    """Rows (tree, leaf, turns array<(role, text)>, learned string, chars), read from formatted texts and masks alone."""
+    """Rows (tree, leaf, turns array<(role, text)>, learned string, chars), read from formatted texts and masks alone.
+
+    One row for each input row, repeated ones too. Null roles and texts come back
+    as empty, which is how they were written. An empty table gives no rows.
+    """
     parts = F.split(F.col("formatted"), r"<\|im_end\|>\n", -1)
     parts = F.slice(parts, F.lit(1), F.size(parts) - 1)
     lead = len(START)
@@ -121,7 +127,12 @@ def read_formatted(formatted: DataFrame) -> DataFrame:
 
 
 def chain(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """Conversations as trees without branches: each row replies to the one before it by turn, then role, then text."""
+    """Conversations as trees without branches: each row replies to the one before it by turn, then role, then text.
+
+    Rows that tie in all three are messages of their own, in either order, which
+    gives the same conversation. Rows with a null key are one conversation, null
+    turns come first. An empty table gives no rows; other columns are not read.
+    """
     w = Window.partitionBy(conv).orderBy(turn, role, text)
     n = rows.select(F.col(conv).alias("tree"), F.row_number().over(w).cast("long").alias("id"), F.col(role).alias("role"), F.col(text).alias("text"))
     return n.select("tree", "id", F.when(F.col("id") > 1, F.col("id") - 1).alias("parent"), "role", "text", F.length("text").cast("double").alias("score"))

@@ -198,7 +198,10 @@ def read_archives(files: DataFrame, key_type: str = "long") -> DataFrame:
     """Rows (page_id, payload_bytes, payload_digest, record_type, refers_to, url), read from the archives.
 
     A response's length and digest are taken from its payload and held against
-    its header; a revisit's are those that its header states.
+    its header; a revisit's are those that its header states. Null keys come back
+    as null, null payloads as empty ones, a null address as an empty one. Records
+    come in the order of their file, one row each, repeated ones too. No files
+    give no rows; an archive that ends inside a record is an error.
     """
     import pyarrow as pa
 
