@@ -206,7 +206,9 @@ def shard_hash(spark, sf):
     return relational.with_shard(d, 7).groupBy("shard").agg(F.count("*").alias("n"))
 
 
-@query("balanced_shards")
+@query("balanced_shards", """WITH RECURSIVE o AS (SELECT row_number() OVER (ORDER BY n_chars DESC NULLS LAST, coalesce(sha256(text), sha256('p')), doc_id) AS i, doc_id AS id, coalesce(n_chars / 10.0, 1.0)::DOUBLE AS w FROM documents),
+  r AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS id, 0 AS shard, [0.0::DOUBLE, 0, 0, 0, 0, 0, 0, 0] AS loads UNION ALL SELECT o.i, o.id, (list_position(loads, list_min(loads)) - 1)::INT, list_transform(loads, lambda x, j: CASE WHEN j = list_position(loads, list_min(loads)) THEN x + w ELSE x END) FROM r JOIN o ON o.i = r.i + 1)
+  SELECT id, shard FROM r WHERE i > 0""")
 def balanced_shards(spark, sf):
     d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.sha2("text", 256).alias("sha256"), F.lit("p").alias("source_path"), (F.col("n_chars") / 10.0).alias("duration"))
     return relational.balanced_shards(d, 8)
@@ -483,7 +485,14 @@ def review_topk(spark, sf):
     return sampling.review_batch(d, F.col("score"), 300).select("id", "review_priority")
 
 
-@query("quota_pick")
+_QUOTA_SQL = f"""WITH RECURSIVE o AS (SELECT row_number() OVER (ORDER BY CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 ELSE 3 END, {_unit_sql("'42'", "lang", "doc_id::VARCHAR")}, '42|' || lang || '|' || doc_id) AS i, doc_id AS id, source AS call, sha256(text) AS dup, lang AS stratum, CASE lang WHEN 'en' THEN 40 ELSE 10 END AS quota FROM documents WHERE lang IN ('en', 'de', 'fr')),
+  r AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS id, NULL::VARCHAR AS call, NULL::VARCHAR AS dup, '' AS stratum, false AS took, 0 AS n, []::VARCHAR[] AS calls, []::VARCHAR[] AS dups UNION ALL
+    SELECT i, id, call, dup, stratum, took, had + took::INT, CASE WHEN took AND call IS NOT NULL THEN list_append(calls, call) ELSE calls END, CASE WHEN took AND dup IS NOT NULL THEN list_append(dups, dup) ELSE dups END FROM (
+      SELECT o.i, o.id, o.call, o.dup, o.stratum, r.calls, r.dups, CASE WHEN o.stratum = r.stratum THEN r.n ELSE 0 END AS had, CASE WHEN o.stratum = r.stratum THEN r.n ELSE 0 END < o.quota AND (o.dup IS NULL OR NOT list_contains(r.dups, o.dup)) AND (o.call IS NULL OR len(list_filter(r.calls, lambda x: x = o.call)) < 3) AS took FROM r JOIN o ON o.i = r.i + 1))
+  SELECT id, call, dup, stratum FROM r WHERE took"""
+
+
+@query("quota_pick", _QUOTA_SQL)
 def quota_pick(spark, sf):
     d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("call"), F.sha2("text", 256).alias("dup"), F.col("lang").alias("stratum"))
     return sampling.quota_plan(d, [("en", 40), ("de", 10), ("fr", 10)], 42, 3)[0]
