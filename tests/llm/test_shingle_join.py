@@ -83,3 +83,35 @@ def test_stages_decide_by_row(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     d = spark.createDataFrame([(4, item), (4, two), (None, item), (None, one)], "doc_id long, text string")
     assert sorted(r["text"] for r in P.drop_benchmark_passages(spark, d, str(tmp_path)).collect()) == sorted([one, two])
+
+
+def test_texts_shuffled_to_the_pairs_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "SENT_PAIRS", 0)
+    texts = copies(8)
+    got = shingle_join.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string").repartition(3))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == plain_components(texts)
+
+
+def test_filters_leave_no_alike_pair_out():
+    import numpy as np
+
+    rnd = random.Random(11)
+    for _ in range(300):
+        n = rnd.choice([1, 3, 20, 90, 400])
+        a = {rnd.getrandbits(64) for _ in range(n)}
+        b = set(rnd.sample(sorted(a), rnd.randint(int(n * 0.7), n))) | {rnd.getrandbits(64) for _ in range(rnd.randint(0, max(1, n // 6)))}
+        x, y = (np.array(sorted(s), np.uint64) for s in (a, b))
+        if len(a & b) >= 0.8 * len(a | b):
+            assert shingle_join.may_reach(shingle_join.parities(x), shingle_join.parities(y), len(x), len(y), 0.8)
+            p, q = shingle_join.short_parities(x), shingle_join.short_parities(y)
+            assert sum(((i ^ j) & (1 << 64) - 1).bit_count() for i, j in zip(p, q)) <= (len(x) + len(y)) * 0.2 / 1.8 + 1e-6
+    far = [np.array(sorted(rnd.getrandbits(64) for _ in range(300)), np.uint64) for _ in range(2)]
+    assert not shingle_join.may_reach(*map(shingle_join.parities, far), 300, 300, 0.8)
+
+
+def test_a_long_passage_that_unlike_rows_share(spark):
+    rnd = random.Random(12)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"w{rnd.randrange(9000)}" for _ in range(rnd.choice([2, 12, 25]))) + " " + passage) for i in range(120)]
+    got = shingle_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == plain_components(rows)
