@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from corvane.llm._common import MEMO_CHARS, forget_latest, hold, small_batches, tokenizer_path
 
 #: Words that a worker remembers at most.
-WORDS_KEPT = 280_000
+WORDS_KEPT = 250_000
 #: Junctions of two tokens that a worker remembers at most.
 JOINS_KEPT = 250_000
 #: The word pattern that the quicker engine can stand in for.
@@ -207,7 +207,6 @@ class WordBpe:
         self.bytes = byte_symbols()
         self.names = {i: t.encode() for t, i in [*self.bpe.vocab.items(), *self.special.items()]}
         self.ids = {s: array("I", [i]).tobytes() for s, i in self.special.items()}
-        self.decoded = {s: s.encode() for s in self.special}
 
     def _library(self, part: str) -> list[str]:
         low = self.normal(part)
@@ -244,9 +243,7 @@ class WordBpe:
         """Encode distinct words through one trie and remember their ids."""
         spelt = {"".join(map(self.bytes.__getitem__, w.encode("utf-8", "surrogatepass"))): w for w in words}
         for k, ids in self.bpe.encode_words(spelt).items():
-            w = spelt[k]
-            self.ids[w] = array("I", ids).tobytes()
-            self.decoded[w] = b" ".join([self.names[i] for i in ids])
+            self.ids[spelt[k]] = array("I", ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian 32-bit, decoded) of whole texts; the new words of the batch share one trie."""
@@ -254,13 +251,16 @@ class WordBpe:
         known = self.ids
         new = {w for s in split for w in s if w not in known}
         if len(known) + len(new) > WORDS_KEPT:
-            forget_latest(known, self.decoded, kept=WORDS_KEPT // 2)
+            forget_latest(known, kept=WORDS_KEPT // 2)
             new = {w for s in split for w in s if w not in known}
         self.learn(new)
-        out = [(b"".join(map(known.__getitem__, s)), b" ".join(map(self.decoded.__getitem__, s))) for s in split]
+        out = []
+        for s in split:
+            ids = array("I", b"".join(map(known.__getitem__, s)))
+            out.append((ids.tobytes(), b" ".join(map(self.names.__getitem__, ids))))
         for w in new:
             if len(w) > MEMO_CHARS:
-                del known[w], self.decoded[w]
+                del known[w]
         return out
 
 

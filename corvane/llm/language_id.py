@@ -35,7 +35,7 @@ FIRST_OTHER = chr(SCRIPTS[1][0])
 #: Share of a language's letters from which it counts as using a script.
 SCRIPT_SHARE = 0.01
 #: Words whose scores a worker remembers at most.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 150_000
 #: Log-score of a language that is no candidate for a word: no switch costs as much.
 NEVER = -1e6
 #: Penalty for a switch between two words, in nats.

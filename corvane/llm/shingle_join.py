@@ -121,6 +121,7 @@ def _signed(h):
 
 def _sets(rows: DataFrame, words: int, least: float) -> DataFrame:
     """Rows (row, sig, n, fp, q, bits, prefix): digest, size, fingerprint, short and long parities of each row's set, and its first shingles."""
+    import numpy as np
     import pyarrow as pa
 
     def flat(batches):
@@ -130,15 +131,14 @@ def _sets(rows: DataFrame, words: int, least: float) -> DataFrame:
 
     some = rows.where(F.pmod(F.xxhash64("row"), F.lit(SAMPLE)) == 0).select("t").mapInArrow(flat, "h long")
     common = some.groupBy("h").agg(F.count("*").alias("c")).where("c > 2").orderBy(F.desc("c"), "h").limit(COMMON).collect()
-    shared = rows.sparkSession.sparkContext.broadcast(sorted((r["h"], r["c"]) for r in common))
+    listed = sorted((r["h"], r["c"]) for r in common)
+    shared = rows.sparkSession.sparkContext.broadcast((np.array([h for h, _ in listed] or [0], np.int64), np.array([c for _, c in listed] or [0], np.int64)))
 
     def run(batches):
-        import numpy as np
         import xxhash
 
         release()
-        known = np.array([h for h, _ in shared.value] or [0], np.int64)
-        count = np.array([c for _, c in shared.value] or [0], np.int64)
+        known, count = shared.value
         for b in batches:
             sigs, sizes, fps, short, bits, firsts = [], [], [], [], [], []
             for t in b.column(1).to_pylist():
