@@ -11,10 +11,19 @@ from pyspark.sql import functions as F
 
 from corvane.llm import bpe_trie, decontam, language_id, simhash
 from corvane.llm._common import tokenizer_path
-from corvane.runtime import scratch, table
+from corvane.runtime import drop_path, scratch, table
 
 #: Share of a text's letters that its language must hold.
 LEAST_SCORE = 0.4
+#: Tables that a stage's plan reads; ``run`` deletes them once its result is written.
+_made: list[str] = []
+
+
+def _stored(spark: SparkSession, df: DataFrame, kind: str) -> DataFrame:
+    path = scratch(spark, kind)
+    _made.append(path)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -24,17 +33,13 @@ def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
     between reads and are written first.
     """
     if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
-        path = scratch(spark, "rows")
-        docs.write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = _stored(spark, docs, "rows")
     return docs.withColumn("_row", F.monotonically_increasing_id())
 
 
 def _without(spark: SparkSession, rows: DataFrame, out: DataFrame, columns: list[str]) -> DataFrame:
     """The rows but those whose numbers are in ``out``, which is written first so that a short list is sent to the rows."""
-    path = scratch(spark, "out")
-    out.select("_row").distinct().write.parquet(path)
-    return rows.join(spark.read.parquet(path), "_row", "left_anti").select(*columns)
+    return rows.join(_stored(spark, out.select("_row").distinct(), "out"), "_row", "left_anti").select(*columns)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -90,9 +95,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The result of all stages. Each stage's table is deleted once the next is written; that of the last stays."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         path = scratch(spark, "stage")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        for old in [last, *_made]:
+            if old:
+                drop_path(spark, old)
+        _made.clear()
+        docs, last = spark.read.parquet(path), path
     return docs
