@@ -98,11 +98,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of all stages. Each stage's table is deleted once the next is written; that of the last stays."""
     docs, last = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        path = scratch(spark, "stage")
+        path, before = scratch(spark, "stage"), len(_made)
         stage(spark, docs, sf_dir).write.parquet(path)
-        for old in [last, *_made]:
+        for old in [last, *_made[before:]]:  # what others made stays theirs
             if old:
                 drop_path(spark, old)
-        _made.clear()
+        del _made[before:]
         docs, last = spark.read.parquet(path), path
     return docs
