@@ -38,6 +38,8 @@ DIALOGUE = {
 }
 # Abbreviations that are not foreign speech.
 ABBREVIATIONS = ["AI", "APP", "ATM", "CPU", "GPS", "ID", "LCD", "LED", "NFC", "PDF", "POS", "QR", "SIM", "SMS", "TV", "URL", "USB", "VIP", "WIFI"]
+# A run of letters that counts as foreign beside Han: a long one, all capitals beyond an abbreviation's length, or small letters that are no abbreviation.
+FOREIGN = rf"[A-Za-z]{{9}}|(?<![A-Za-z])(?:[A-Z]{{7,8}}|(?!(?:{'|'.join(ABBREVIATIONS).lower()})(?![A-Za-z]))[a-z]{{2,8}})(?![A-Za-z])"
 
 
 def _any(c: Column, phrases: list[str]) -> Column:
@@ -122,17 +124,17 @@ def fields_compatible(x: Column, y: Column) -> Column:
 
 
 def speech_language(c: Column) -> Column:
-    """zh, non_zh, mixed, unknown or empty: foreign speech in the body, abbreviations aside."""
+    """zh, non_zh, mixed, unknown or empty: foreign speech in the body, abbreviations aside.
+
+    Every rule is one pattern that is sought in the body, so a text is read a fixed number of times.
+    """
 
     def of(body):
-        cjk = body.rlike(text.CJK)
-        tokens = F.filter(F.regexp_extract_all(body, F.lit("[A-Za-z]+"), F.lit(0)), lambda t: F.length(t) > 1)
-        short = lambda t: F.upper(t).isin(ABBREVIATIONS) | t.rlike("^[A-Z]{2,6}$") | ((F.length(t) <= 8) & t.rlike("[A-Z]") & t.rlike("[a-z]"))
-        foreign = F.filter(tokens, lambda t: F.when(cjk, ~short(t)).otherwise(F.length(t) >= 3))
-        blank = F.regexp_replace(body, r"[^\p{L}\p{N}]", "") == ""
-        return F.when(blank, "empty").when(cjk & (F.size(foreign) == 0), "zh").when(cjk, "mixed").when(F.size(foreign) > 0, "non_zh").otherwise("unknown")
-
-    return let(text.clean_control_tags(text.text_or_empty(c)), of)
+        mixed = F.when(body.rlike(FOREIGN), "mixed").otherwise("zh")
+        return F.when(~body.rlike(r"[\p{L}\p{N}]"), "empty").when(body.rlike(text.CJK), mixed).when(body.rlike("[A-Za-z]{3}"), "non_zh").otherwise("unknown")
+
+    tags = lambda x: F.contains(x, F.lit("<|")) | F.contains(x, F.lit("EMO_"))
+    return let(text.text_or_empty(c), lambda x: let(F.when(tags(x), text.clean_control_tags(x)).otherwise(F.trim(x)), of))
 
 
 def echo_form(c: Column) -> Column:

@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 from pyspark.sql import functions as F
 
 from corvane.operators import classify_semantic, consensus, routes, semantics
@@ -55,3 +59,25 @@ def test_business_outcomes(spark):
     got = {r["id"]: (r["category"], r["coverage"], r["label_grade"]) for r in classify_semantic.classify_business(made(spark, cases), FAM).collect()}
     assert got["same"] == ("business_consistent", "A", "semantic_only") and got["risk"][0] == "semantic_risk" and got["mail"][0] == "voicemail"
     assert got["verbatim"] == ("business_consistent", "A", "pseudo_verbatim_high") and got["open"][1] == "U" and got["empty"][1] == "U"
+
+
+def plain_speech_language(text):
+    body = re.sub(r"\bEMO_[A-Z]+\b", "", re.sub(r"<\|.*?\|>", "", text or "")).strip(" ")
+    if not any(c.isalpha() or c.isdecimal() for c in body):
+        return "empty"
+    tokens, han = [t for t in re.findall("[A-Za-z]+", body) if len(t) > 1], any("一" <= c <= "\u9fff" for c in body)
+    short = lambda t: t.upper() in semantics.ABBREVIATIONS or re.fullmatch("[A-Z]{2,6}", t) or (len(t) <= 8 and not t.isupper() and not t.islower())
+    foreign = any(not short(t) if han else len(t) >= 3 for t in tokens)
+    return ("mixed" if foreign else "zh") if han else "non_zh" if foreign else "unknown"
+
+
+def test_speech_language_reads_a_text_once(spark):
+    """Each word of a text used to be held against the whole text again: this one took minutes."""
+    rnd = random.Random(5)
+    parts = ["好", "你", " ", " ", "7", "é", "。", "<|zh|>", "EM<||>O_X ", "EMO_SAD", "ok", "ai", "aid", "App", "wifi", "WIFI", "QWERTYU", "QWERTY", "QWERTYUIO", "Qwertyui", "Qwertyuio", "qwertyuio", "a", "B", "id", "x1"]
+    texts = [None, ""] + ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 6))) for _ in range(1500)]
+    long = ["hello ok " * 60_000, "你好 AI " * 60_000]
+    began = time.time()
+    got = values(spark, [(t,) for t in texts + long], lambda: semantics.speech_language(F.col("a")), "a string")
+    assert time.time() - began < 20
+    assert got == [plain_speech_language(t) for t in texts] + ["non_zh", "zh"]
