@@ -34,8 +34,10 @@ SCRIPTS = [
 FIRST_OTHER = chr(SCRIPTS[1][0])
 #: Share of a language's letters from which it counts as using a script.
 SCRIPT_SHARE = 0.01
-#: Words whose scores a worker remembers at most.
-WORDS_KEPT = 150_000
+#: Pieces between blanks that a worker remembers at most.
+WORDS_KEPT = 300_000
+#: Characters in n-grams up to which the places of all n-grams are held in dense arrays.
+DENSE = 160
 #: Log-score of a language that is no candidate for a word: no switch costs as much.
 NEVER = -1e6
 #: Penalty for a switch between two words, in nats.
@@ -160,6 +162,7 @@ class Labeller:
         self.gram_rows = [_Rows(f, ((g, i) for g, i in at.items() if len(g) == k)) for k, f in zip((1, 2, 3), floors)]
         self.uses = {s: np.array([l in ls for l in self.langs]) for s, ls in spec["scripts"].items()}
         self.narrowed: dict[frozenset, object] = {}
+        self._dense()
         self.reset()
 
     def reset(self) -> None:
@@ -172,10 +175,11 @@ class Labeller:
         self.used = 1
 
     def forget(self) -> None:
-        """Keep the words that came first: those that are frequent come early."""
-        forget_latest(self.by_letters, kept=WORDS_KEPT // 2)
-        self.used = max(self.by_letters.values()) + 1
-        self.at = {c: i for c, i in self.at.items() if i < self.used}
+        """Keep the pieces that came first, and the words up to theirs: those that are frequent come early."""
+        forget_latest(self.at, kept=WORDS_KEPT // 2)
+        self.used = max(self.at.values(), default=0) + 1
+        for w in [w for w, i in self.by_letters.items() if i >= self.used]:
+            del self.by_letters[w]
 
     def candidates(self, scripts: frozenset[str]):
         """Which languages a word in these scripts may be in."""
@@ -190,13 +194,28 @@ class Labeller:
             self.narrowed[scripts] = got
         return got
 
-    def learn(self, chunks: set[str]) -> None:
-        """Score new words together: their n-grams' rows are added up in one pass."""
+    def _dense(self) -> None:
+        """Rows of n-grams by numbers of their characters, in arrays; characters of no n-gram have number 0."""
         import numpy as np
 
-        own = {c: letters(c) for c in chunks}
-        new = list({w for w in own.values() if w not in self.by_letters})
-        if new:
+        chars = sorted({c for r in self.gram_rows for g in r for c in g} | {" "})
+        self.numbers = None
+        if len(chars) >= DENSE:
+            return
+        self.numbers, n = np.zeros(0x110000, np.uint8), len(chars) + 1
+        self.numbers[[ord(c) for c in chars]] = range(1, n)
+        self.places = []
+        for size, rows in enumerate(self.gram_rows, 1):
+            place = np.full((n,) * size, rows.floor, np.int32)
+            for g, i in rows.items():
+                place[tuple(int(self.numbers[ord(c)]) for c in g)] = i
+            self.places.append(place.ravel())
+
+    def _sums(self, new: list[str]):
+        """For each word, the sum of its n-grams' rows over 3: single characters, then pairs and triples of the word between two blanks."""
+        import numpy as np
+
+        if self.numbers is None:
             one, two, three = (r.__getitem__ for r in self.gram_rows)
             flat, starts = [], []
             for w in new:
@@ -205,7 +224,28 @@ class Labeller:
                 flat += map(one, w)
                 flat += map(two, [x[i : i + 2] for i in range(len(x) - 1)])
                 flat += map(three, [x[i : i + 3] for i in range(len(x) - 2)])
-            s = np.add.reduceat(self.table[flat], starts, axis=0) / 3
+            return np.add.reduceat(self.table[flat], starts, axis=0) / 3
+        n = np.fromiter(map(len, new), np.int64, len(new))
+        x = self.numbers[np.frombuffer(f" {'  '.join(new)} ".encode("utf-32-le", "surrogatepass"), "<u4")].astype(np.int32)
+        k = self.places[0].size
+        # of a word of n characters: n single ones, n + 1 pairs and n triples, in this order
+        first = np.cumsum(np.concatenate([[0], n[:-1] + 2]))
+        starts = np.cumsum(np.concatenate([[0], 3 * n[:-1] + 1]))
+        flat = np.empty(int((3 * n + 1).sum()), np.int32)
+        pair = x[:-1] * k + x[1:]
+        for place, ids, lead, count, before in ((0, x, 1, n, 0 * n), (1, pair, 0, n + 1, n), (2, pair[:-1] * k + x[2:], 0, n, 2 * n + 1)):
+            step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            flat[np.repeat(starts + before, count) + step] = self.places[place][ids[np.repeat(first + lead, count) + step]]
+        return np.add.reduceat(self.table[flat], starts, axis=0) / 3
+
+    def learn(self, chunks: set[str]) -> None:
+        """Score new words together: their n-grams' rows are added up in one pass."""
+        import numpy as np
+
+        own = {c: letters(c) for c in chunks}
+        new = list({w for w in own.values() if w not in self.by_letters})
+        if new:
+            s = self._sums(new)
             latin = self.candidates(frozenset(["latin"]))
             out = np.array([latin if max(w) < FIRST_OTHER else self.candidates(frozenset(map(script_of, w))) for w in new]).reshape(s.shape)
             s -= np.where(out, s, NEVER).max(axis=1, keepdims=True)

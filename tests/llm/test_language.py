@@ -127,3 +127,29 @@ def test_registered_query_on_held_out_rows(spark):
     known = [r for r in got if r["held_out"] and docs[r["doc_id"]]["lang"] is not None and any(c.isalpha() for c in docs[r["doc_id"]]["text"] or "")]
     right = sum(r["lang_pred"] == docs[r["doc_id"]]["lang"] for r in known)
     assert len(known) > 100 and right / len(known) >= 0.95
+
+
+def test_full_word_table_is_really_emptied(monkeypatch):
+    """Many forms of few words: the table stayed over its bound, so every batch emptied what it had just learned."""
+    rnd = random.Random(2)
+    chars = "abcdeé"
+    one = list(chars)
+    all_ = one + [a + b for a in one + [" "] for b in one + [" "]] + [a + b + c for a in one + [" "] for b in one for c in one + [" "]]
+    probs = {g: [-rnd.random() * 9, -rnd.random() * 9] for g in rnd.sample(all_, 200)} | {f"?{k}?floor": [-9.0 - k, -9.5 - k] for k in (1, 2, 3)}
+    model = json.dumps({"langs": ["x", "y"], "scripts": {"latin": ["x", "y"]}, "probs": probs})
+    word = lambda: "".join(rnd.choice(chars + "zй日") for _ in range(rnd.randint(1, 4)))
+    words = [word() for _ in range(40)]
+    texts = [" ".join(rnd.choice(["", "(", "-"]) + rnd.choice(words) + rnd.choice(["", ",", ".", "!", "?"]) for _ in range(60)) for _ in range(40)] + ["", None, "12 34"]
+    plain = L.Labeller(model)
+    plain.numbers = None  # n-gram by n-gram
+    want = [plain.label([t])[0] for t in texts]
+    assert [L.Labeller(model).label([t])[0] for t in texts] == want
+    monkeypatch.setattr(L, "WORDS_KEPT", 100)
+    small = L.Labeller(model)
+    got = []
+    for t in texts:
+        got += small.label([t])
+        small.forget()
+        assert len(small.at) <= 50 and len(small.by_letters) <= 51
+        assert set(small.at.values()) <= set(small.by_letters.values()) and small.used == max(small.by_letters.values()) + 1
+    assert got == want
